@@ -39,9 +39,10 @@ ASCII_PATTERN = r" ?[A-Za-z]+| ?[0-9]+|'(?:s|t|re|ve|m|ll|d)| ?[^\t-\r A-Za-z0-9
 DECIMAL_PATTERN = f" ?[^\\W\\d_]+| ?\\d+|'(?:s|t|re|ve|m|ll|d)| ?(?:[^{SPACE}\\w]|_)+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 OTHER_NUMBERS = char_class([c for c in map(chr, range(0x80, sys.maxunicode + 1)) if unicodedata.category(c) in ("No", "Nl")])
 BREAK = re.compile(f"\n(?=[^{SPACE}])")
-BYTE_AT = 0x100
+#: Bytes that stand for themselves; any other byte is mapped to the character so far above it.
+PLAIN, BYTE_AT = range(0x20, 0x7F), 0x100
 CACHED_LINES, CACHED_PIECES, LINE_CHARS, BATCH_CHARS = 200_000, 400_000, 160, 8_000_000
-_TO_CHARS = {b: BYTE_AT + b for b in range(256)}
+_TO_CHARS = {b: BYTE_AT + b for b in range(256) if b not in PLAIN}
 
 
 def read_vocabulary(path: str = VOCABULARY) -> dict[bytes, int]:
@@ -98,7 +99,7 @@ class Codec:
         self.line_break = self._piece("\n")
 
     def _piece(self, piece: str) -> bytes:
-        mapped = _chars(piece.encode("utf-8", "replace"))
+        mapped = piece if piece.isascii() and piece.isprintable() else _chars(piece.encode("utf-8", "replace"))
         found = self.whole.get(mapped)
         if found is None:
             found = np.array(self.model.encode(mapped), np.int32).tobytes()
@@ -126,7 +127,7 @@ class Codec:
 
     def decode(self, ids: Iterable[int]) -> str:
         """The text of the ids."""
-        return b"".join(bytes(ord(c) - BYTE_AT for c in self.model.id_to_piece(int(i))) for i in ids).decode("utf-8", "replace")
+        return b"".join(bytes(ord(c) - BYTE_AT * (ord(c) >= BYTE_AT) for c in self.model.id_to_piece(int(i))) for i in ids).decode("utf-8", "replace")
 
 
 def _apply(df: DataFrame, columns: list[str], text: str, counts_only: bool, vocabulary: str) -> DataFrame:
