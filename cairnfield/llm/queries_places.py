@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairnfield.functions.keys import key_form
-from cairnfield.llm import same_address
+from cairnfield.llm import cross_match, same_address
+from cairnfield.session import cut
 from cairnfield.sources.tables import read
 
 
@@ -20,5 +21,55 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return same_address.pairs(same_address.locations(_raw(spark, folder)))
 
 
-QUERIES = {f.__name__: f for f in (p4_found,)}
+def _forms(rows: DataFrame, source: str) -> DataFrame:
+    """(source, id, form, parts) of the parsed rows that state an address; `form` stands for the parts."""
+    parts = ["number", "direction", "name", "suffix", "place", "zip"]
+    rows = rows.where("number <> '' and name <> '' and place <> ''")
+    return rows.select(F.lit(source).alias("source"), F.col("id").cast("string").alias("id"), *parts, F.concat_ws("\t", *parts).alias("form")).distinct()
+
+
+def _matches(spark: SparkSession, folder: str) -> DataFrame:
+    """(source, id, ops_id, confidence) of every third-party record without a key and each address record it may denote."""
+    zips = read(spark, folder, "zip_reference")
+    ops, dnb, keep = (read(spark, folder, n) for n in ("ops_location", "dim_location_dnb", "dim_location_keepstock"))
+
+    def forms(df: DataFrame, source: str, street: str, city: str, state: str, code: str) -> DataFrame:
+        return _forms(same_address.parsed(df, zips, "ID", street, city, state, code), source)
+
+    keyed = cut(ops.select(key_form(F.col("DNB_DIM_LOCATION_ID")).alias("k")).where("k is not null").distinct())
+    loose = forms(dnb, "dnb", "PHYS_STRT_AD", "PHYS_CTY", "PHYS_ST_ABRV", "PHYS_ZIP5").join(keyed, key_form(F.col("id")) == F.col("k"), "left_anti")
+    key = key_form(F.col("OPS_LOCATION_ID"))
+    stock = forms(keep.where(key.isNull()), "keepstock", "ADDRESS1", "CITY", "PROVINCE", "ZIP5")
+    # records with a key, by whose address the confidence is fitted
+    known = keep.where(key.isNotNull()).select("*", key.alias("k")).orderBy(F.xxhash64("ID"), "ID").limit(cross_match.SAMPLE_ROWS)
+    sample = forms(known, "sample", "ADDRESS1", "CITY", "PROVINCE", "ZIP5")
+    asked = cut(loose.unionByName(stock).unionByName(sample))
+    listed = cut(forms(ops.where("IS_ADDRESS"), "ops", "OPS_STREET", "OPS_CITY", "OPS_STATE", "OPS_ZIP5"))
+
+    part = ["direction", "suffix", "zip"]
+    core = lambda x: x.select("number", "place", "name").distinct().withColumn("form", F.concat_ws("\t", "number", "place", "name"))
+    close = cut(cross_match.close_pairs(core(asked), core(listed)))
+    side = lambda x, s: x.select(F.concat_ws("\t", "number", "place", "name").alias(s), F.col("form").alias(f"form_{s}"), *[F.col(p).alias(f"{p}_{s}") for p in part]).distinct()
+    features = cut(cross_match.scored(close.join(side(asked, "l"), "l").join(side(listed, "r"), "r")))
+    truth = known.select(F.col("ID").cast("string").alias("id"), "k").join(ops.where("IS_ADDRESS").select(key_form(F.col("ID")).alias("k"), F.col("ID").alias("ops")).distinct(), "k")
+    truth = truth.join(listed.select(F.col("id").alias("ops"), F.col("form").alias("true_r")), "ops").select("id", "true_r").distinct()
+    labelled = asked.where("source = 'sample'").select("id", F.col("form").alias("form_l")).join(truth, "id").join(features, "form_l").select(*cross_match.FEATURES, (F.col("form_r") == F.col("true_r")).alias("same"))
+    weights = cross_match.fit(labelled.toPandas())
+    # the zip of a listed address tells nothing apart, so addresses compete by their other parts
+    best = cross_match.confidences(features.withColumn("address", F.concat_ws("\t", "r", "direction_r", "suffix_r")), weights, "form_l", "address")
+    to = listed.select(F.col("id").alias("ops_id"), F.concat_ws("\t", "number", "place", "name", "direction", "suffix").alias("address")).distinct()
+    return asked.where("source <> 'sample'").select("source", "id", F.col("form").alias("form_l")).join(best, "form_l").join(to, "address").select("source", "id", "ops_id", "confidence").distinct()
+
+
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Each third-party record without a key and each address record that it more likely than not denotes."""
+    return _matches(spark, folder).where("confidence > 0.5").select(F.col("source").alias("source_table"), F.col("id").cast("bigint").alias("source_id"), F.col("ops_id").alias("ops_location_id")).distinct()
+
+
+def p6_confidence(spark: SparkSession, folder: str) -> DataFrame:
+    """Every match that was considered, with its confidence."""
+    return _matches(spark, folder).select(F.col("source").alias("source_table"), F.col("id").cast("bigint").alias("source_id"), F.col("ops_id").alias("ops_location_id"), F.round("confidence", 6).alias("confidence"))
+
+
+QUERIES = {f.__name__: f for f in (p4_found, p6_found, p6_confidence)}
 SQL: dict[str, str] = {}

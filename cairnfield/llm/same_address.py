@@ -36,7 +36,7 @@ INDEX_ROWS = 200_000
 BANDS, Q = 16, 2
 #: Rows of one location above which its pairs are made by several tasks, and how many.
 HOT_ROWS, SALTS = 2_000, 32
-PARTS = "number string, direction string, name string, suffix string, place string"
+PARTS = "number string, direction string, name string, suffix string, place string, zip string"
 
 
 def _parse(pdf: pd.DataFrame, index: CityIndex, others: int) -> pd.DataFrame:
@@ -45,14 +45,14 @@ def _parse(pdf: pd.DataFrame, index: CityIndex, others: int) -> pd.DataFrame:
     for row in zip(*[text[c] for c in text.columns[1:]], strict=True):
         street, number, city, state, code = row[:5]
         a = addresses.parse(street, number, row[5 : 5 + others])
-        found.append((a.number, a.direction, a.name, a.suffix, index.find(city, state, code)))
-    out = pd.DataFrame(found, columns=["number", "direction", "name", "suffix", "place"])
+        found.append((a.number, a.direction, a.name, a.suffix, index.find(city, state, code), addresses.zip_form(code)))
+    out = pd.DataFrame(found, columns=["number", "direction", "name", "suffix", "place", "zip"])
     out.insert(0, "id", pdf["id"].to_numpy())
     return out
 
 
 def parsed(df: DataFrame, zips: DataFrame, id_col: str, street: str, city: str, state: str | None, code: str, number: str | None = None, others: Sequence[str] = ()) -> DataFrame:
-    """(id, number, direction, name, suffix, place) of every distinct row; '' where a part is missing."""
+    """(id, number, direction, name, suffix, place, zip) of every distinct row; '' where a part is missing."""
     none = F.lit(None).cast("string")
     pick = lambda c: F.col(c) if c else none
     rows = df.select(
