@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from cairnfield.llm import queries_names, queries_places, queries_text
+from cairnfield.llm import queries_groups, queries_names, queries_places, queries_text
 
-MODULES = (queries_names, queries_places, queries_text)
+MODULES = (queries_groups, queries_names, queries_places, queries_text)
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 SQL = {name: text for m in MODULES for name, text in m.SQL.items()}
