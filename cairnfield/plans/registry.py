@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from cairnfield.plans import domain
+from cairnfield.plans import domain, relational
 
-FLAGSHIP = "p1_found"
-MODULES = (domain,)
+FLAGSHIP = "accounts_by_revenue"
+MODULES = (relational, domain)
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 SQL = {name: text for m in MODULES for name, text in m.SQL.items()}
