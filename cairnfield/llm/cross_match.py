@@ -30,7 +30,7 @@ BITS, RADIUS, Q = 256, 15, 2
 #: Records with a key that the confidence is fitted on, at most.
 SAMPLE_ROWS = 20_000
 #: Weights without a sample: constant, Dice score, direction and suffix in conflict, direction and suffix missing, zip near and zip far.
-DEFAULT_WEIGHTS = (-9.0, 16.0, -6.0, -6.0, -0.7, -0.7, -0.3, -0.8)
+DEFAULT_WEIGHTS = (-9.0, 16.0, -12.0, -12.0, -0.7, -0.7, -0.3, -0.8)
 FEATURES = ("dice", "direction_conflict", "suffix_conflict", "direction_missing", "suffix_missing", "zip_near", "zip_far")
 
 
