@@ -84,7 +84,8 @@ def suffix_of(word: str) -> str | None:
     if word in SUFFIX_OF:
         return SUFFIX_OF[word]
     if len(word) >= 4:
-        near = [s for s in LONG_SUFFIXES if distance(word, s, 1) <= 1]
+        # in a suffix of four letters another letter makes another word: land and lade are no lane
+        near = [s for s in LONG_SUFFIXES if distance(word, s, 1) <= 1 and (len(s) > 4 or len(word) != 4 or sorted(word) == sorted(s))]
         return near[0] if near else None
     return None
 
@@ -176,6 +177,8 @@ def parse_line(text: str | None, number: str | None = None) -> Address:
         elif not suffix and len(words) > 1 and words[-1] in DIRECTION_OF and len(words[-1]) < 6:
             direction, end = DIRECTION_OF[words[-1]], len(words) - 1
     name = "".join(words[:end])
+    if suffix and name.isdigit() and words[end] == {"1": "st", "3": "rd"}.get(name[-1]) and name[-2:-1] != "1" and end + 1 == len(words):
+        suffix = ""  # 93 rd is the end of an ordinal rather than a road
     if _ORDINAL.match(name):
         name = name[:-2]
     return Address(number, direction, ORDINALS.get(name, name), suffix)
