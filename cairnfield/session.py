@@ -43,3 +43,13 @@ def cut(df: DataFrame) -> DataFrame:
 def buckets(rows: int, per_bucket: int) -> int:
     """How many buckets hold `rows` rows at about `per_bucket` each."""
     return max(1, math.ceil(rows / per_bucket))
+
+
+def parallelism(spark: SparkSession) -> int:
+    """Partitions for work that costs much a row: what the session shuffles into, and no fewer than its cores."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The rows over all cores where a small input has fewer partitions; a large one is left as it is, without a shuffle."""
+    return df.repartition(parallelism(df.sparkSession)) if df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism else df
