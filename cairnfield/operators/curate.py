@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from cairnfield.functions.text import content_id, joined, title_case
 from cairnfield.operators import address as A
 from cairnfield.operators.stats_dict import repaired
-from cairnfield.session import parallelism
+from cairnfield.session import cut, parallelism
 
 TEXT = ("STREET", "STREET_NUM", "CITY", "STATE", "ZIP5", "DEPARTMENT", "ATTENTION", "SUPPLEMENTAL", "RECEIVER")
 OTHERS = ("DEPARTMENT", "ATTENTION", "SUPPLEMENTAL", "RECEIVER")
@@ -39,7 +39,7 @@ def precurate(df: DataFrame, by: Sequence[str] = (), rules: A.Rules | None = Non
     fields = ["STREET_NUM", "STREET", *OTHERS]
     # a stated number of partitions, as the rules cost more than their bytes tell the adaptive coalescing
     inferred = df.select(*fields).repartition(parallelism(df.sparkSession), *fields).distinct().withColumn("_a", A.infer_columns(F.col("STREET_NUM"), F.col("STREET"), [F.col(c) for c in OTHERS], rules))
-    df = df.join(inferred, fields).withColumns({"ADDRESS": A.special(F.col("_a.address")), "SUBLOCATION_LVL1": F.col("_a.lvl1"), "SUBLOCATION_LVL2": F.col("_a.lvl2")}).drop("_a")
+    df = df.join(cut(inferred), fields).withColumns({"ADDRESS": A.special(F.col("_a.address")), "SUBLOCATION_LVL1": F.col("_a.lvl1"), "SUBLOCATION_LVL2": F.col("_a.lvl2")}).drop("_a")
     df = df.withColumn("IS_INTERSECTION", A.is_intersection(F.col("ADDRESS")))
     df = repaired(df, "ADDRESS", sorted(set(rules.suffixes.values())), by)
     df = df.withColumn("OPS_MARKER", A.marker(F.col("SUBLOCATION_LVL1")))

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cairnfield.operators.hierarchy import forest
+from cairnfield.session import cut
 
 SEP = "\u0001"
 
@@ -58,6 +59,7 @@ def switched_order(freq: DataFrame) -> DataFrame:
 
 def dictionary(freq: DataFrame, words: Sequence[str]) -> DataFrame:
     """(scope, key, address) of all rules, the later rule first: switched order, missing numbers, missing words."""
+    freq = cut(freq)  # every rule reads it
     rules = [missing_tokens(freq, words), missing_numbers(freq), switched_order(freq)]
     every = None
     for rank, rows in enumerate(rules):
