@@ -177,8 +177,9 @@ def parse_line(text: str | None, number: str | None = None) -> Address:
         elif not suffix and len(words) > 1 and words[-1] in DIRECTION_OF and len(words[-1]) < 6:
             direction, end = DIRECTION_OF[words[-1]], len(words) - 1
     name = "".join(words[:end])
-    if suffix and name.isdigit() and words[end] == {"1": "st", "3": "rd"}.get(name[-1]) and name[-2:-1] != "1" and end + 1 == len(words):
-        suffix = ""  # 93 rd is the end of an ordinal rather than a road
+    if suffix and name.isdigit() and words[end] == {"1": "st", "3": "rd"}.get(name[-1]) and name[-2:-1] != "1":
+        after = words[end + 1] if end + 1 < len(words) else ""
+        suffix = (suffix_of(after) or suffix) if after else ""  # 93 rd is the end of an ordinal rather than a road
     if _ORDINAL.match(name):
         name = name[:-2]
     return Address(number, direction, ORDINALS.get(name, name), suffix)

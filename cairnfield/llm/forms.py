@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cairnfield.session import cut
+from cairnfield.session import cut, spread
 
 #: Letters of other alphabets drawn like a Latin letter (or one like another), each above the one it becomes.
 LOOK_ALIKES = dict(
@@ -116,7 +116,7 @@ def canonical_corpus(df: DataFrame, id_col: str = "doc_id", text: str = "text")
             forms = pa.array([canonical(t) for t in batch.column(1).to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays([batch.column(0), forms], names=["id", "form"])
 
-    df = df.select(id_col, text)
+    df = spread(df.select(id_col, text))
     return df.mapInArrow(work, f"id {df.schema[0].dataType.simpleString()}, form string").withColumnRenamed("id", id_col)
 
 
@@ -135,7 +135,7 @@ def alike(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFram
                 forms.append(texts[-1] if form is t else sha256(form.encode("utf-8", "surrogatepass")).digest())
             yield pa.RecordBatch.from_arrays([pa.array(ids, batch.schema[0].type), pa.array(forms, pa.binary()), pa.array(texts, pa.binary())], names=["id", "form", "raw"])
 
-    rows = df.where(f"`{text}` <> ''").select(F.col(id_col), F.col(text))
+    rows = spread(df.where(f"`{text}` <> ''").select(F.col(id_col), F.col(text)))
     marked = rows.mapInArrow(work, f"id {rows.schema[0].dataType.simpleString()}, form binary, raw binary").distinct()
     several = marked.groupBy("form").agg(F.count_distinct("raw").alias("n"), F.count("*").alias("m")).where("n > 1").select("form", "m")
     members = cut(marked.join(several, "form"))

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from cairnfield.llm import addresses
 from cairnfield.llm.addresses import CityIndex
 from cairnfield.operators.components import components
-from cairnfield.session import cut
+from cairnfield.session import cut, parallelism, spread
 
 #: Rows of the city reference up to which it is sent to every task; a larger one is met state by state.
 INDEX_ROWS = 200_000
@@ -52,12 +52,12 @@ def _parse(pdf: pd.DataFrame, index: CityIndex, others: int) -> pd.DataFrame:
 
 
 def parsed(df: DataFrame, zips: DataFrame, id_col: str, street: str, city: str, state: str | None, code: str, number: str | None = None, others: Sequence[str] = ()) -> DataFrame:
-    """(id, number, direction, name, suffix, place, zip) of every distinct row; '' where a part is missing."""
+    """(id, number, direction, name, suffix, place, zip) of every row; '' where a part is missing."""
     none = F.lit(None).cast("string")
     pick = lambda c: F.col(c) if c else none
     rows = df.select(
         F.col(id_col).alias("id"), pick(street).alias("street"), pick(number).alias("number"), pick(city).alias("city"), pick(state).alias("state"), pick(code).alias("code"), *[F.col(c).alias(f"other{i}") for i, c in enumerate(others)]
-    ).distinct()
+    )
     schema = f"id {rows.schema['id'].dataType.simpleString()}, {PARTS}"
     listed = zips.select("ZIP5", "CITY", "STATE").distinct()
     found = listed.limit(INDEX_ROWS + 1).collect()
@@ -70,7 +70,7 @@ def parsed(df: DataFrame, zips: DataFrame, id_col: str, street: str, city: str,
             for pdf in batches:
                 yield _parse(pdf, index, n)
 
-        return rows.mapInPandas(work, schema)
+        return spread(rows).mapInPandas(work, schema)
     code_state = listed.groupBy(F.col("ZIP5").alias("code")).agg(F.min("STATE").alias("_s"))
     rows = rows.join(code_state, "code", "left").withColumn("_s", F.coalesce(F.upper(F.trim("state")), "_s", F.lit("")))
     order = ["id", "street", "number", "city", "state", "code", *[f"other{i}" for i in range(n)]]
@@ -143,15 +143,16 @@ def _banded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def same_street(nodes: DataFrame) -> DataFrame:
     """(vertex, component) of the nodes (number, place, name, node, n) that have a verified neighbour."""
+    n = parallelism(nodes.sparkSession)
     several = nodes.groupBy("number", "place").agg(F.count("*").alias("k")).where("k > 1").select("number", "place")
     banded = nodes.join(several, ["number", "place"], "left_semi").mapInPandas(_banded, "number string, place string, node string, n long, band int, low long")
     members = cut(banded.select(F.xxhash64("number", "place", "band", "low").alias("bucket"), "node", "n"))
     leaders = members.groupBy("bucket").agg(F.max_by("node", F.struct("n", "node")).alias("leader"), F.count("*").alias("k")).where("k > 1").select("bucket", "leader")
     led = cut(members.join(leaders, "bucket").where("node <> leader").select("bucket", "node", "leader"))
-    first = cut(led.select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct().repartition("a").mapInPandas(_verify, "a string, b string"))
+    first = cut(led.select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct().repartition(n, "a").mapInPandas(_verify, "a string, b string"))
     loose = led.join(first.select(F.col("a").alias("node"), F.col("b").alias("leader")), ["node", "leader"], "left_anti").select("bucket", F.col("node").alias("a"))
     pairs = loose.join(members.select("bucket", F.col("node").alias("b")), "bucket").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    second = pairs.repartition("a", "b").mapInPandas(_verify, "a string, b string")
+    second = pairs.repartition(n, "a", "b").mapInPandas(_verify, "a string, b string")
     return components(first.unionByName(second))
 
 

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cairnfield.llm.forms import char_class
+from cairnfield.session import spread
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Characters that the pattern's \s stands for, by the Unicode property White_Space.
@@ -132,7 +133,7 @@ class Codec:
 
 def _apply(df: DataFrame, columns: list[str], text: str, counts_only: bool, vocabulary: str) -> DataFrame:
     model = df.sparkSession.sparkContext.broadcast(sentencepiece_model(read_vocabulary(vocabulary)))
-    df = df.select(*columns, F.col(text).alias("_text"))
+    df = spread(df.select(*columns, F.col(text).alias("_text")))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = None
