@@ -31,7 +31,7 @@ def p8_shares(spark: SparkSession, folder: str) -> DataFrame:
 
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     """Pairs of documents that differ only in characters that look the same or show nothing."""
-    return forms.alike(read(spark, folder, "documents"))
+    return forms.alike(read(spark, folder, "documents")).toDF("doc_id_a", "doc_id_b")
 
 
 def p9_forms(spark: SparkSession, folder: str) -> DataFrame:
