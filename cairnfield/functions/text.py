@@ -59,7 +59,7 @@ def title_case(c: Column) -> Column:
 def equal_width_bin(c: Column, low: Column | float, high: Column | float, n: int) -> Column:
     """The bin 0 … n-1 of equal widths from `low` to `high`, closed on the left, the highest value in the last."""
     low, high = (x if isinstance(x, Column) else F.lit(float(x)) for x in (low, high))
-    return F.when(high > low, F.least(F.floor((c - low) / (high - low) * n), F.lit(n - 1))).otherwise(F.when(c.isNotNull(), 0)).cast("int")
+    return F.when((high > low) & c.isNotNull(), F.least(F.floor((c - low) / (high - low) * n), F.lit(n - 1))).otherwise(F.when(c.isNotNull(), 0)).cast("int")
 
 
 def edge_bin(c: Column, edges: Sequence[float], labels: Sequence[str]) -> Column:
