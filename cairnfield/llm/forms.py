@@ -40,8 +40,6 @@ SIGNS = {"‐": "-", "‑": "-", "µ": "μ", "∆": "Δ"}
 BLANKS = dict.fromkeys("               　", " ")
 #: Format characters that a reader does see.
 SHOWN = {chr(c) for r in (range(0x600, 0x606), (0x6DD, 0x70F, 0x890, 0x891, 0x8E2, 0x110BD, 0x110CD)) for c in r}
-#: A hot group's rows are spread over so many parts when its pairs are made.
-SALTS = 16
 
 
 @cache
@@ -122,7 +120,7 @@ def canonical_corpus(df: DataFrame, id_col: str = "doc_id", text: str = "text")
 
 def alike(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(id_a, id_b), id_a < id_b: rows whose non-empty texts differ but have one form. Only ids and 256-bit digests are
-    shuffled; the rows of a form are salted on one side and repeated on the other where a form has many."""
+    shuffled; the different texts of a form are paired before their copies are added, so copies never meet each other."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -137,9 +135,9 @@ def alike(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFram
 
     rows = spread(df.where(f"`{text}` <> ''").select(F.col(id_col), F.col(text)))
     marked = rows.mapInArrow(work, f"id {rows.schema[0].dataType.simpleString()}, form binary, raw binary").distinct()
-    several = marked.groupBy("form").agg(F.count_distinct("raw").alias("n"), F.count("*").alias("m")).where("n > 1").select("form", "m")
-    members = cut(marked.join(several, "form"))
-    parts = F.when(F.col("m") > 1000, SALTS).otherwise(1)
-    a = members.select(F.col("id").alias("id_a"), "form", F.col("raw").alias("raw_a"), (F.abs(F.xxhash64("id")) % parts).cast("int").alias("salt"))
-    b = members.select(F.col("id").alias("id_b"), "form", F.col("raw").alias("raw_b"), F.explode(F.sequence(F.lit(0), (parts - 1).cast("int"))).alias("salt"))
-    return a.join(b, ["form", "salt"]).where("id_a < id_b and raw_a <> raw_b").select("id_a", "id_b")
+    several = marked.groupBy("form").agg(F.min("raw").alias("a"), F.max("raw").alias("b")).where("a <> b").select("form")
+    members = cut(marked.join(several, "form", "left_semi"))
+    texts = members.select("form", "raw").distinct()
+    pairs = texts.withColumnRenamed("raw", "x").join(texts.withColumnRenamed("raw", "y"), "form").where("x < y")
+    one, two = (members.select(F.col("raw").alias(t), F.col("id").alias(i)) for t, i in (("x", "i"), ("y", "j")))
+    return pairs.join(one, "x").join(two, "y").select(F.least("i", "j").alias("id_a"), F.greatest("i", "j").alias("id_b"))
