@@ -8,7 +8,7 @@ from cairnfield.streaming import incremental
 
 def test_names_of_a_run():
     c = Catalog("_7_prod", ("TEMP",))
-    assert c.name("CIM", "LOCATION") == "CIM_7_prod.LOCATION" and c.name("TEMP", "CACHE") == "TEMP.CACHE"
+    assert c.name("MASTER", "LOCATION") == "MASTER_7_prod.LOCATION" and c.name("TEMP", "CACHE") == "TEMP.CACHE"
 
 
 def test_files(spark, tmp_path):
