@@ -32,11 +32,12 @@ BUCKET_ROWS = 1_000_000
 FOREST = "id string, top string, off long, cyclic boolean, on_cycle boolean"
 
 
-def links_by_name(df: DataFrame, id_col: str, name_col: str, parent_col: str) -> DataFrame:
-    """Distinct (id, parent) for every record that names a parent; parent is null where no record has the name."""
+def links_by_name(df: DataFrame, id_col: str, name_col: str, parent_col: str, every: bool = False) -> DataFrame:
+    """Distinct (id, parent) for every record that names a parent, or for `every` record; parent is null where no record
+    has the name and where none is named."""
     rows = df.select(F.col(id_col).cast("string").alias("id"), name_form(F.col(name_col)).alias("name"), name_form(F.col(parent_col)).alias("parent_name"))
     named = rows.where("name is not null").groupBy("name").agg(F.min("id").alias("parent")).withColumnRenamed("name", "parent_name")
-    return rows.where("parent_name is not null and id is not null").join(named, "parent_name", "left").groupBy("id").agg(F.min("parent").alias("parent"))
+    return rows.where("id is not null" if every else "parent_name is not null and id is not null").join(named, "parent_name", "left").groupBy("id").agg(F.min("parent").alias("parent"))
 
 
 def _compress(ids: np.ndarray, parents: np.ndarray, weights: np.ndarray) -> pd.DataFrame:
@@ -127,17 +128,19 @@ def resolve(links: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     return solved.unionByName(links.where("parent is null").select("id", F.col("id").alias("root_id"), F.lit(0).alias("depth")))
 
 
-def paths(links: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """(id, root_id, depth, path) of every record not led into a cycle, `path` holding the ids from the root to the record."""
+def paths(links: DataFrame, bucket_rows: int = BUCKET_ROWS, cycles: bool = False) -> DataFrame:
+    """(id, root_id, depth, path) of every record not led into a cycle, `path` holding the ids from the root to the record;
+    with `cycles` the others too, as `resolve` gives them, their path null."""
     links = cut(links)
-    solved = cut(resolve(links, bucket_rows).where("depth >= 0"))
+    every = cut(resolve(links, bucket_rows))
+    solved = every.where("depth >= 0")
     deepest = solved.agg(F.max("depth")).first()[0] or 0
     walk = cut(solved.join(links, "id").select("id", F.when(F.col("depth") > 0, F.array("parent", "id")).otherwise(F.array("id")).alias("path")))
     for _ in range(math.ceil(math.log2(deepest)) if deepest > 1 else 0):
         up = walk.select(F.col("id").alias("_head"), F.col("path").alias("_up")).where(F.size("path") > 1)
         head = F.when(F.size("path") > 1, F.col("path")[0])
         walk = cut(walk.join(up, head == F.col("_head"), "left").select("id", F.when(F.col("_up").isNull(), F.col("path")).otherwise(F.concat("_up", F.slice("path", 2, F.size("path")))).alias("path")))
-    return solved.join(walk, "id")
+    return every.join(walk, "id", "left" if cycles else "inner")
 
 
 def descendants(walks: DataFrame) -> DataFrame:

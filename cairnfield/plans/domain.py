@@ -16,8 +16,8 @@ REFERENCES = (
 )
 
 
-def _links(spark: SparkSession, folder: str) -> DataFrame:
-    return hierarchy.links_by_name(read(spark, folder, "ops_location"), "ID", "OPS_LOC_NAME", "MAIN_LOC_NAME")
+def _links(spark: SparkSession, folder: str, every: bool = False) -> DataFrame:
+    return hierarchy.links_by_name(read(spark, folder, "ops_location"), "ID", "OPS_LOC_NAME", "MAIN_LOC_NAME", every)
 
 
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -26,8 +26,8 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p1_paths(spark: SparkSession, folder: str) -> DataFrame:
-    """Path from the root of every location that names a parent, as ids joined by '>'."""
-    return hierarchy.paths(_links(spark, folder)).selectExpr("id", "root_id", "depth", "array_join(path, '>') path")
+    """Path from the root of every location, as ids joined by '>'; null on and below cycles."""
+    return hierarchy.paths(_links(spark, folder, True), cycles=True).selectExpr("id", "root_id", "depth", "array_join(path, '>') path")
 
 
 def p1_descendants(spark: SparkSession, folder: str) -> DataFrame:
