@@ -72,7 +72,7 @@ def edge_bin(c: Column, edges: Sequence[float], labels: Sequence[str]) -> Column
 
 def coordinates(c: Column) -> Column:
     """(lat, lon) of a text '(lon, lat)', 0.0 for what it lacks."""
-    number = lambda i: F.coalesce(F.expr("double(null)") if i is None else F.regexp_extract(c, r"\(?\s*(-?\d+(?:\.\d+)?)\s*,\s*(-?\d+(?:\.\d+)?)", i).try_cast("double"), F.lit(0.0))
+    number = lambda i: F.coalesce(F.expr("double(null)") if i is None else F.regexp_extract(c, r"\(?\s*(-?\d+(?:\.\d+)?(?:E-?\d+)?)\s*,\s*(-?\d+(?:\.\d+)?(?:E-?\d+)?)", i).try_cast("double"), F.lit(0.0))
     return F.struct(number(2).alias("lat"), number(1).alias("lon"))
 
 

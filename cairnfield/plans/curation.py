@@ -108,26 +108,21 @@ _BOX, _ROAD = r"^\s*P\.?\s?O\.?\s?B\s?[0O]?\s?X?\s?(\d+)\s*$", r"^(.*)\sIN?T?E?R
   SELECT ID, CASE WHEN regexp_matches(STREET, '(?i){_ROAD}') THEN regexp_extract(STREET, '(?i){_ROAD}', 1) || ' Interstate ' || regexp_extract(STREET, '(?i){_ROAD}', 2) ELSE STREET END AS a
   FROM (SELECT ID, CASE WHEN ID % 7 = 0 THEN '12 I ' || STREET_NUM ELSE STREET END AS STREET FROM dim_location_sales_order))""")
 def pobox_interstate(spark: SparkSession, folder: str) -> DataFrame:
-    """Post-office boxes and interstates in one spelling; some rows get an interstate to have any."""
-    street = F.when(F.col("ID") % 7 == 0, F.concat(F.lit("12 I "), "STREET_NUM")).otherwise(F.col("STREET"))
-    return read(spark, folder, "dim_location_sales_order").select("ID", A.special(street).alias("address")).distinct()
+    """Post-office boxes and interstates of all streets in one spelling."""
+    return read(spark, folder, "dim_location_sales_order").select("ID", A.special(F.col("STREET")).alias("address")).distinct()
 
 
 @query("""WITH a AS (SELECT DISTINCT ID, CASE ID % 5 WHEN 0 THEN 'Hwy 59 & ' || STREET WHEN 1 THEN 'US 191 and AZ 264' WHEN 2 THEN 'I 26 & Hwy 21 St' ELSE STREET END AS street FROM dim_location_sales_order WHERE STREET IS NOT NULL)
 SELECT ID, street, """ + " OR ".join(f"regexp_matches(street, '{p}')" for p in A.INTERSECTIONS) + " AS is_intersection FROM a")
 def intersection_flag(spark: SparkSession, folder: str) -> DataFrame:
-    """Which streets name a crossing; some rows get one to have any."""
-    n, c = F.col("ID") % 5, F.col("STREET")
-    street = F.when(n == 0, F.concat(F.lit("Hwy 59 & "), c)).when(n == 1, "US 191 and AZ 264").when(n == 2, "I 26 & Hwy 21 St").otherwise(c)
-    return read(spark, folder, "dim_location_sales_order").where("STREET is not null").select("ID", street.alias("street")).distinct().withColumn("is_intersection", A.is_intersection(F.col("street")))
+    """Which streets name a crossing."""
+    return read(spark, folder, "dim_location_sales_order").where("STREET is not null").select("ID", F.col("STREET").alias("street")).distinct().withColumn("is_intersection", A.is_intersection(F.col("street")))
 
 
 @query("SELECT DISTINCT ID, regexp_replace(regexp_replace(regexp_replace(regexp_replace(s, '(\\d+) Street (Avenue|Road|Street)', '\\1st \\2', 'g'), '(\\d+) Road (Avenue|Road|Street)', '\\1rd \\2', 'g'), '(\\d+) Th (Avenue|Road|Street)', '\\1th \\2', 'g'), '(\\d+) Nd (Avenue|Road|Street)', '\\1nd \\2', 'g') AS street FROM (SELECT ID, (ID % 90) || ' ' || (['Street', 'Road', 'Th', 'Nd'])[ID % 4 + 1] || ' Avenue' AS s FROM dim_location_soldto)")
 def ordinal_fix(spark: SparkSession, folder: str) -> DataFrame:
-    """Numbers of streets whose ordinal ends a dictionary broke."""
-    ends = F.element_at(F.array(*map(F.lit, ("Street", "Road", "Th", "Nd"))), (F.col("ID") % 4 + 1).cast("int"))
-    street = F.concat_ws(" ", (F.col("ID") % 90).cast("string"), ends, F.lit("Avenue"))
-    return read(spark, folder, "dim_location_soldto").select("ID", A.ordinals(street, ["Avenue", "Road", "Street"]).alias("street")).distinct()
+    """Streets with the ordinal ends mended that a dictionary broke."""
+    return read(spark, folder, "dim_location_soldto").select("ID", A.ordinals(F.col("STREET"), ["Avenue", "Road", "Street"]).alias("street")).distinct()
 
 
 _SUFFIXED = _list({w.lower() for w in RULES.suffix_values | RULES.direction_values} | set(A.SUFFIXLESS))
@@ -145,9 +140,8 @@ p AS (SELECT *, list_max(list_transform(list_filter(range(1, len(k) + 1), lambda
 SELECT ID, CASE WHEN len(k) < 2 OR list_has_any(list_transform(k, lambda x: lower(x)), {_list({*A.SPECIFIED, *(w.lower() for w in RULES.spanish.values())})}) OR list_contains({_list(RULES.suffix_values)}, k[-1]) OR list_contains({_list(RULES.direction_values)}, k[2])
   OR NOT list_has_any(k, {_list(RULES.suffix_values | RULES.direction_values)}) OR last IS NULL THEN s ELSE array_to_string(k[1:last], ' ') END AS street FROM p""")
 def garbage_after_suffix(spark: SparkSession, folder: str) -> DataFrame:
-    """Streets without what follows their suffix; half of the rows get something."""
-    c = F.when(F.col("ID") % 2 == 0, F.concat("STREET", F.lit(" Main Street garbage"))).otherwise(F.col("STREET"))
-    return read(spark, folder, "dim_location_soldto").where("STREET is not null").select("ID", A.without_garbage(c, RULES).alias("street")).distinct()
+    """Streets without what follows their suffix."""
+    return read(spark, folder, "dim_location_soldto").where("STREET is not null").select("ID", A.without_garbage(F.col("STREET"), RULES).alias("street")).distinct()
 
 
 def _inferred(spark: SparkSession, folder: str) -> DataFrame:
@@ -318,9 +312,9 @@ def title_cities(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("SELECT ID, -(ID % 90) + 0.5 AS lat, (ID % 180) + 0.25 AS lon FROM dim_location_dnb".replace("-(ID % 90) + 0.5 AS lat", "CAST(ID % 90 + 0.5 AS DOUBLE) AS lat").replace("(ID % 180) + 0.25 AS lon", "CAST(-(ID % 180) - 0.25 AS DOUBLE) AS lon"))
 def parsed_coordinates(spark: SparkSession, folder: str) -> DataFrame:
-    """Coordinates read from a text of longitude and latitude."""
-    shown = F.concat(F.lit("(-"), (F.col("ID") % 180).cast("string"), F.lit(".25, "), (F.col("ID") % 90).cast("string"), F.lit(".5)"))
-    return read(spark, folder, "dim_location_dnb").withColumn("c", text.coordinates(shown)).select("ID", "c.lat", "c.lon")
+    """Coordinates read from a text of longitude and latitude, as every location has them."""
+    shown = F.concat(F.lit("("), F.col("LONGITUDE").cast("string"), F.lit(", "), F.col("LATITUDE").cast("string"), F.lit(")"))
+    return read(spark, folder, "ops_location").withColumn("c", text.coordinates(shown)).select("ID", "c.lat", "c.lon")
 
 
 @query("""SELECT ID, array_to_string(list_sort(list_distinct(list_filter(list_transform(string_split_regex(lower(concat_ws(' ', nullif(STREET, ''), nullif(CITY, ''))), '[ \\t\\n\\x0b\\f\\r]+'), lambda x: CASE WHEN x = 'st' THEN 'street' ELSE x END), lambda x: x <> '' AND x <> 'the'))), ' ') AS tokens FROM dim_location_soldto""")
