@@ -80,11 +80,13 @@ def training_pairs(ranked: DataFrame, threshold: float = THRESHOLD) -> DataFrame
     return ranked.where(F.col("score") >= threshold).select(F.col("left_id").alias("ID"), F.col("right_id").alias("ID_y"))
 
 
-def neighbour_votes(labelled: DataFrame, weights: DataFrame, k: int = 5) -> DataFrame:
+def neighbour_votes(labelled: DataFrame, weights: DataFrame, k: int = 5, itself: bool = True) -> DataFrame:
     """(id, label, votes): for every row of `weights` the label with the highest summed score among its k nearest labelled
-    rows (id, label), itself included."""
+    rows (id, label), `itself` included or not."""
     known = weights.join(labelled, "id")
     scored = scores(weights, known.select("id", "token", "weight"))
+    if not itself:
+        scored = scored.where("left_id <> right_id")
     near = scored.withColumn("_r", F.row_number().over(Window.partitionBy("left_id").orderBy(F.desc("score"), "right_id"))).where(F.col("_r") <= k)
     votes = near.join(labelled.select(F.col("id").alias("right_id"), "label"), "right_id").groupBy("left_id", "label").agg(F.sum("score").alias("votes"))
     top = votes.groupBy("left_id").agg(F.min(F.struct((-F.col("votes")).alias("v"), "label")).alias("b"))

@@ -274,11 +274,11 @@ def tfidf_weights(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def knn_sources(spark: SparkSession, folder: str) -> DataFrame:
-    """Organisations' kind of business by the votes of their nearest names, from the last word of every third."""
+    """Organisations' kind of business by the votes of their nearest names, from the last word of every other one."""
     rows = read(spark, folder, "organization").select(F.col("ID").alias("id"), "ORGANIZATION_NAME")
     label = F.element_at(F.split("ORGANIZATION_NAME", " "), -1)
     weights = match.tfidf(rows, "id", match.word_grams(F.col("ORGANIZATION_NAME")))
-    return match.neighbour_votes(rows.where("pmod(xxhash64(id), 3) = 0").select("id", label.alias("label")), weights, 5).select("id", "label", F.round("votes", 6).alias("votes"))
+    return match.neighbour_votes(rows.select("id", label.alias("label")), weights, 5, itself=False).select("id", "label", F.round("votes", 6).alias("votes"))
 
 
 @query()
