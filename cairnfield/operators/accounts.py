@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cairnfield.functions.text import equal_width_bin, ratio
+from cairnfield.session import spread
 
 
 def average(total: Column, n: Column) -> Column:
@@ -58,6 +59,16 @@ def similar_names(df: DataFrame, id_col: str, name: str, target: str, threshold:
     return rows.withColumn("similarity", ratio(F.upper(name), F.lit(target.upper()))).where(F.col("similarity") >= threshold)
 
 
+def similar_pairs(df: DataFrame, id_col: str, name: str, threshold: int) -> DataFrame:
+    """(target, id, name, similarity) of the names at least so alike to that of each row, the target, itself left out."""
+    rows = df.select(F.col(id_col), F.col(name)).where(F.col(name).isNotNull()).distinct()
+    low = spread(rows).select(F.col(id_col).alias("_id"), F.col(name).alias("_name"))
+    pairs = low.crossJoin(rows).where(F.col("_id") < F.col(id_col)).withColumn("similarity", ratio(F.upper("_name"), F.upper(name))).where(F.col("similarity") >= threshold)
+    one = lambda a, b, n: F.struct(F.col(a).alias("target"), F.col(b).alias(id_col), F.col(n).alias(name))
+    both = pairs.select(F.explode(F.array(one("_id", id_col, name), one(id_col, "_id", "_name"))).alias("p"), "similarity")
+    return both.select("p.*", "similarity")
+
+
 def captured(c: Column, pattern: str, groups: Sequence[int], override: str | None = None, to: str | None = None) -> list[Column]:
     """The groups of a pattern in a text, null without a match; the first replaced where the text matches `override`."""
     out = [F.nullif(F.regexp_extract(c, pattern, g), F.lit("")) for g in groups]

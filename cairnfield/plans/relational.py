@@ -345,8 +345,8 @@ def name_captures(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def similar_names(spark: SparkSession, folder: str) -> DataFrame:
-    """Organisations whose name is like a given one."""
-    return accounts.similar_names(read(spark, folder, "organization"), "ID", "ORGANIZATION_NAME", "Water Treatment Group", 60)
+    """Organisations whose name is like that of each other one."""
+    return accounts.similar_pairs(read(spark, folder, "organization"), "ID", "ORGANIZATION_NAME", 60)
 
 
 @query()
