@@ -15,6 +15,7 @@ DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -25,10 +26,13 @@ def build_session(name: str = "cairnfield", master: str | None = None, **conf: s
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of `spark.checkpoint.dir`; only where neither it nor the context names one, a folder of our own."""
+    """The shared folder of `spark.checkpoint.dir`; a folder of our own only where neither it nor the context names one and
+    the session runs on this machine alone. On a cluster a missing setting is an error, as executors share no such folder."""
     sc = spark.sparkContext
     found = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not sc.getCheckpointDir():
+        if not found and not sc.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         found = found or tempfile.mkdtemp(prefix="cairnfield-")
         sc.setCheckpointDir(found)
     return found
@@ -51,5 +55,9 @@ def parallelism(spark: SparkSession) -> int:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """The rows over all cores where a small input has fewer partitions; a large one is left as it is, without a shuffle."""
-    return df.repartition(parallelism(df.sparkSession)) if df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism else df
+    """The rows over all cores where the plan's estimated size fills fewer partitions; a large input is left as it is, without
+    a shuffle. Nothing is run to find out."""
+    spark = df.sparkSession
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    piece = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return df.repartition(parallelism(spark)) if size < piece * parallelism(spark) else df

@@ -11,17 +11,25 @@ from pyspark.sql.streaming import StreamingQuery
 from cairnfield.operators.dml import insert_new
 
 
-def append_new(stream: DataFrame, path: str, columns: Sequence[str], checkpoint: str) -> StreamingQuery:
+def _exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(where)
+
+
+def append_new(stream: DataFrame, path: str, columns: Sequence[str], checkpoint: str, by: Sequence[str] = ()) -> StreamingQuery:
     """Append to a Parquet table the rows of each batch that it lacks, nulls being equal; a batch that is tried again
-    finds its rows and adds none."""
+    finds its rows and adds none. With columns `by` the table is partitioned by them, and a batch is compared with the
+    partitions that it holds rows of only. A table that can't be read is an error; only a missing one is empty."""
 
     def write(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
-        try:
-            old = spark.read.parquet(path)
-        except Exception:  # no table yet
-            old = batch.limit(0)
-        insert_new(old, batch, columns).write.mode("append").parquet(path)
+        batch = batch.select(*columns)
+        old = spark.read.schema(batch.schema).parquet(path) if _exists(spark, path) else batch.limit(0)
+        if by:
+            held = batch.select(*[F.col(c).alias(f"_{c}") for c in by]).distinct()
+            match = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]
+            old = old.join(held, match, "left_semi")
+        insert_new(old, batch, columns).write.mode("append").partitionBy(*by).parquet(path)
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
