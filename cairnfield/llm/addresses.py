@@ -1,7 +1,9 @@
 """Postal addresses typed by people: their parts, and the city that each means.
 
 `parse` finds the part of a record that states an address, wherever it was typed, and gives its house number, direction,
-street name, suffix or post-office box. `CityIndex` finds the listed city that a typed city, state and zip mean.
+street name, suffix or post-office box. What people add to an address is not listed here but learnt: a `Lexicon` holds the
+words that follow a suffix rather than precede it, and the texts that fill other fields. `CityIndex` finds the listed city
+that a typed city, state and zip mean.
 """
 
 from __future__ import annotations
@@ -9,15 +11,15 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import lru_cache
 
-#: Street suffixes and the ways to shorten them.
-SUFFIXES = {
-    "street": "st str strt", "avenue": "ave av aven avn", "road": "rd", "drive": "dr drv driv", "lane": "ln la", "parkway": "pkwy pky pkway parkwy",
-    "boulevard": "blvd boul blv bvd", "way": "wy", "court": "ct crt", "crossing": "xing crssng crsg", "circle": "cir circ crcl", "square": "sq sqr",
-    "terrace": "ter terr", "place": "pl plc", "trail": "trl tr", "loop": "lp", "alley": "aly", "plaza": "plz", "highway": "hwy hiway hiwy hway", "turnpike": "tpke", "row": "",
-}
+from cairnfield.functions import postal
+
+#: Street suffixes by spelling, from the public postal list, with a few ways to write them that it lacks.
+SUFFIX_OF = {k: v.lower() for k, v in postal.suffixes().items()} | {"la": "lane", "crt": "court", "lp": "loop", "tr": "trail", "plc": "place", "bvd": "boulevard", "blv": "boulevard", "crsg": "crossing"}
+#: Those that name a kind of road, and so end the name of a street; the others may be words of it.
+ROADS = frozenset(r.lower() for r in postal.ROADS)
 #: Directions and the ways to shorten them.
 DIRECTIONS = {
     "north": "n no nth", "south": "s so sth", "east": "e ea", "west": "w we", "north east": "ne northeast", "north west": "nw northwest", "south east": "se southeast", "south west": "sw southwest",
@@ -26,32 +28,37 @@ DIRECTIONS = {
 CITY_WORDS = {"north": "n no", "south": "s so", "east": "e", "west": "w", "new": "nw", "port": "pt prt", "fort": "ft", "mount": "mt mnt", "saint": "st snt", "lake": "lk"}
 #: Words for a part of a site, which is followed by a number or a letter.
 SUBLOCATIONS = "building bldng bldg bld warehouse whse whs plant plnt plt dock dk door gate gt room rm suite ste unit floor flr level lvl cell bay rack zone aisle line sector apartment apt lot"
-#: Remarks that carriers get with an address.
-REMARKS = "do not bend|call ahead|rear entrance|dlvr b4 \\w+|asdf\\w*|qwr\\w*|attn \\w+|see \\w+|x\\d+"
-
 #: Numbers of streets written out.
 ORDINALS = dict(zip("first second third fourth fifth sixth seventh eighth ninth tenth eleventh twelfth".split(), "1 2 3 4 5 6 7 8 9 10 11 12".split(), strict=True))
-#: What stands in an address field in place of an address.
-ROLES = "receiving|receiving dept|maintenance|maint|purchasing|stores|front desk|tool crib|tool room|shop floor|shipping|facilities|it|r&d|r & d|kitchen|quality lab|line|desk|warehouse|office|accounts payable|[a-df-mo-rt-vx-z] [a-z]{3,}"
 
 
 def _inverse(table: dict[str, str]) -> dict[str, str]:
     return {short: full for full, shorts in table.items() for short in (full, *shorts.split())}
 
 
-SUFFIX_OF, DIRECTION_OF, CITY_WORD_OF = _inverse(SUFFIXES), _inverse(DIRECTIONS), _inverse(CITY_WORDS)
-LONG_SUFFIXES = [s for s in SUFFIXES if len(s) >= 4]
+DIRECTION_OF, CITY_WORD_OF = _inverse(DIRECTIONS), _inverse(CITY_WORDS)
+LONG_ROADS = sorted(s for s in ROADS if len(s) >= 4)
 _SUB = re.compile(rf"\b(?:{SUBLOCATIONS.replace(' ', '|')})\s*#?\s*(?:\d{{1,4}}[a-z]?|[a-z])\b|\bdr\s*#\s*\w+|#\s*\w+")
-_REMARK = re.compile(rf"\b(?:{REMARKS})\b")
 _BOX = re.compile(r"\b(?:p\s?o\s?|post\s?office\s?)?(?:box|bx)\s*#?\s*0*(\d+)\b")
 _LETTERS = re.compile(r"\b([a-z])\.(?=[a-z]\b)")
-_SPLIT_ORDINAL = re.compile(rf"\b(\d+) (st|nd|rd|th) (?=(?:{'|'.join(SUFFIX_OF)})\b)")
-_ROLE = re.compile(f"(?:{ROLES})$")
+_DIGIT = re.compile(r"\d")
+_SPLIT_ORDINAL = re.compile(rf"\b(\d+) (st|nd|rd|th) (?=(?:{'|'.join(k for k, v in SUFFIX_OF.items() if v in ROADS)})\b)")
 _NUMBER = re.compile(r"0*(\d+)(.*)")
 _ORDINAL = re.compile(r"\d+(?:st|nd|rd|th)$")
 _ROUTE = re.compile(r"(county road|highway|state road|route|interstate) \d")
 
 
+@dataclass(frozen=True)
+class Lexicon:
+    """What is learnt of the records: words that follow streets' suffixes, and texts that fill other fields."""
+
+    tails: frozenset[str] = field(default_factory=frozenset)
+    fillers: frozenset[str] = field(default_factory=frozenset)
+
+
+NOTHING = Lexicon()
+
+
 def distance(a: str, b: str, most: int) -> int:
     """Edits between two words, a swap of neighbours being one; `most` + 1 where there are more than `most`."""
     if a == b:
@@ -80,24 +87,26 @@ def distance(a: str, b: str, most: int) -> int:
 
 @lru_cache(100_000)
 def suffix_of(word: str) -> str | None:
-    """The suffix that a word means, one slip allowed in a word of four letters or more."""
+    """The suffix that a word means, one slip allowed in a kind of road of four letters or more."""
     if word in SUFFIX_OF:
         return SUFFIX_OF[word]
     if len(word) >= 4:
         # in a suffix of four letters another letter makes another word: land and lade are no lane
-        near = [s for s in LONG_SUFFIXES if distance(word, s, 1) <= 1 and (len(s) > 4 or len(word) != 4 or sorted(word) == sorted(s))]
+        near = [s for s in LONG_ROADS if distance(word, s, 1) <= 1 and (len(s) > 4 or len(word) != 4 or sorted(word) == sorted(s))]
         return near[0] if near else None
     return None
 
 
 @dataclass(slots=True)
 class Address:
-    """The parts of one stated address; empty where not stated. A post-office box has the name `po box`."""
+    """The parts of one stated address; empty where not stated. `name` is the street's name with its words run together,
+    `words` has them apart. A post-office box has the name `po box`."""
 
     number: str = ""
     direction: str = ""
     name: str = ""
     suffix: str = ""
+    words: str = ""
 
     @property
     def worth(self) -> int:
@@ -105,7 +114,8 @@ class Address:
         if self.name == "po box":
             return 6
         route = bool(_ROUTE.match(self.name))
-        return (2 * bool(self.number) + 3 * bool(self.suffix) + 3 * route) if self.name else 0
+        ends = self.suffix or self.words.rpartition(" ")[2] in SUFFIX_OF
+        return (2 * bool(self.number) + 3 * bool(ends) + 3 * route) if self.name else 0
 
 
 def _clean(text: str) -> str:
@@ -129,9 +139,10 @@ def _directions(words: list[str]) -> tuple[str, list[str]]:
 def _route(words: list[str]) -> str | None:
     """A numbered road at the start of the words."""
     text = " ".join(words[:4])
-    if m := re.match(r"(?:cr|c r|(?:co|cnty|cty|county|conty|couty|cunty|cuonty|coutny|countyy|counnty|couunty|ccounty|coounty|counyt|conuty) ?(\w+)) ?0*(\d+)\b", text):
-        if m[1] is None or suffix_of(m[1]) == "road":
-            return f"county road {m[2]}"
+    if m := re.match(r"(?:c ?r|(co|cnty|cty|c\w{3,7}) ?(\w+?)) ?0*(\d+)\b", text):
+        county = m[1] in (None, "co", "cnty", "cty") or distance(m[1], "county", 1) <= 1
+        if county and (m[2] is None or suffix_of(m[2]) == "road"):
+            return f"county road {m[3]}"
     if m := re.match(r"(?:us )?(\w+) ?0*(\d+)\b", text):
         if suffix_of(m[1]) == "highway":
             return f"highway {m[2]}"
@@ -140,17 +151,32 @@ def _route(words: list[str]) -> str | None:
     return None
 
 
-def parse_line(text: str | None, number: str | None = None) -> Address:
+def _suffix_at(words: list[str]) -> tuple[str, int]:
+    """The suffix and its place: the first word but the first one that names a kind of road, or the next one where that does
+    too, else the last that might with a slip; ('', length) for none. A word for a feature is part of the name."""
+    for i in range(1, len(words)):
+        if SUFFIX_OF.get(words[i]) in ROADS:
+            if i + 1 < len(words) and SUFFIX_OF.get(words[i + 1]) in ROADS:
+                i += 1
+            return SUFFIX_OF[words[i]], i
+    for i in range(len(words) - 1, 0, -1):
+        if words[i] not in SUFFIX_OF and (near := suffix_of(words[i])):
+            return near, i
+    return "", len(words)
+
+
+def parse_line(text: str | None, number: str | None = None, lexicon: Lexicon = NOTHING) -> Address:
     """The address that one line states; `number` is a house number stated apart from it."""
     line = _clean(text or "")
     found = _NUMBER.match(_clean(number or ""))
     number = found[1] if found else ""
+    if line in lexicon.fillers:
+        return Address(number)
     if m := _BOX.search(line):
-        return Address(m[1], "", "po box", "")
-    line = _SPLIT_ORDINAL.sub(r"\1\2 ", _REMARK.sub(" ", _SUB.sub(" ", line)).strip())
-    if _ROLE.match(line):
+        return Address(m[1], "", "po box", "", "po box")
+    words = _SPLIT_ORDINAL.sub(r"\1\2 ", _SUB.sub(" ", line).strip()).replace("#", " ").replace("&", " ").split()
+    if " ".join(words) in lexicon.fillers:
         return Address(number)
-    words = line.replace("#", " ").replace("&", " ").split()
     if words and (m := re.match(r"0*(\d+)([a-zÀ-ɏ]*)$", words[0])) and not (_ORDINAL.match(words[0]) and (number or len(words) < 3 or suffix_of(words[1]))):
         if not number or number == m[1]:
             number = m[1]
@@ -159,17 +185,15 @@ def parse_line(text: str | None, number: str | None = None) -> Address:
         number, words = words[at].lstrip("0") or "0", words[at + 1 :]
     direction, words = _directions(words)
     if route := _route(words):
-        return Address(number, direction, route, "")
-    suffix, end = "", len(words)
-    for i in range(1, len(words)):
-        if words[i] in SUFFIX_OF:
-            suffix, end = SUFFIX_OF[words[i]], i
-            break
-    else:
-        for i in range(len(words) - 1, 0, -1):
-            if near := suffix_of(words[i]):
-                suffix, end = near, i
-                break
+        return Address(number, direction, route, "", route)
+    suffix, end = _suffix_at(words)
+    if not suffix:  # what usually follows a suffix is no part of a name that has none
+        while end > 1 and (words[end - 1] in lexicon.tails or (_DIGIT.search(words[end - 1]) and not _ORDINAL.match(words[end - 1]))):
+            end -= 1
+        end = next((i for i in range(1, end - 1) if words[i] in lexicon.tails and words[i + 1] in lexicon.tails), end)
+        words = words[:end]
+        if end > 1 and words[-1] in SUFFIX_OF:
+            words[-1] = SUFFIX_OF[words[-1]]
     if not direction:
         tail = words[end + 1 : end + 3] if suffix else words[-2:]
         if suffix and tail and tail[0] in DIRECTION_OF:
@@ -182,16 +206,18 @@ def parse_line(text: str | None, number: str | None = None) -> Address:
         suffix = (suffix_of(after) or suffix) if after else ""  # 93 rd is the end of an ordinal rather than a road
     if _ORDINAL.match(name):
         name = name[:-2]
-    return Address(number, direction, ORDINALS.get(name, name), suffix)
+    if name in ORDINALS:
+        name = ORDINALS[name]
+    return Address(number, direction, name, suffix, " ".join(words[:end]) if "".join(words[:end]) == name else name)
 
 
-def parse(street: str | None, number: str | None = None, others: Sequence[str | None] = ()) -> Address:
+def parse(street: str | None, number: str | None = None, others: Sequence[str | None] = (), lexicon: Lexicon = NOTHING) -> Address:
     """The address of a record: of its street, or of another field where that states more of one."""
-    best = parse_line(street, number)
+    best = parse_line(street, number, lexicon)
     if best.worth < 5:
         for other in others:
             if other and len(other) > 4:
-                found = parse_line(other, number)
+                found = parse_line(other, number, lexicon)
                 if found.worth > best.worth and (found.suffix or found.worth >= 5 or not best.name):
                     best = found
     return best
@@ -209,6 +235,20 @@ def zip_form(code: str | None) -> str:
     return m[1].zfill(5) if m else ""
 
 
+def slips(name: str) -> int:
+    """How many edits a city's name may have."""
+    return 1 if len(name) < 6 else 2 if len(name) < 9 else 3
+
+
+def rated(edits: int, code: str, zips: Iterable[str]) -> tuple[float, int]:
+    """How far a listed city is from a typed one: edits and how its zips agree, then the edits alone."""
+    if not code:
+        return edits + 1.5, edits
+    if code in zips:
+        return edits, edits
+    return edits + (1 if any(sum(x != y for x, y in zip(code, z, strict=False)) <= 1 for z in zips) else 2), edits
+
+
 class CityIndex:
     """Finds the listed city that a typed city, state and zip mean."""
 
@@ -244,14 +284,8 @@ class CityIndex:
             near = {c for c in self.by_zip.get(code, ()) if not state or c[0] == state}
             return "|".join(next(iter(near))) if len(near) == 1 else ""
         pool = self.by_state.get(state) or (self.by_zip.get(code, set()) | self.by_name.get(name, set())) or self.everywhere
-        most = 1 if len(name) < 6 else 2 if len(name) < 9 else 3
-        scored = []
-        for key in pool:
-            d = distance(name, key[1], most)
-            if d <= most:
-                zips = self.zips[key]
-                match = 0 if code in zips else 1 if code and any(sum(x != y for x, y in zip(code, z, strict=False)) <= 1 for z in zips) else 1.5 if not code else 2
-                scored.append((d + match, d, key))
+        most = slips(name)
+        scored = [(*rated(d, code, self.zips[key]), key) for key in pool if (d := distance(name, key[1], most)) <= most]
         scored.sort()
         if scored and (len(scored) == 1 or scored[0][:2] != scored[1][:2]):
             return "|".join(scored[0][2])

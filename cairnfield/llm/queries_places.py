@@ -12,8 +12,10 @@ from cairnfield.sources.tables import read
 
 
 def _raw(spark: SparkSession, folder: str) -> DataFrame:
-    sales = read(spark, folder, "dim_location_sales_order").where(key_form(F.col("OPS_LOCATION_ID")).isNull())
-    return same_address.parsed(sales, read(spark, folder, "zip_reference"), "ID", "STREET", "CITY", "STATE", "ZIP5", "STREET_NUM", ("SUPPLEMENTAL", "ATTENTION", "DEPARTMENT", "RECEIVER"))
+    sales, others = read(spark, folder, "dim_location_sales_order"), ("SUPPLEMENTAL", "ATTENTION", "DEPARTMENT", "RECEIVER")
+    lexicon = same_address.learn(sales, "STREET", others)
+    sales = sales.where(key_form(F.col("OPS_LOCATION_ID")).isNull())
+    return same_address.parsed(sales, read(spark, folder, "zip_reference"), "ID", "STREET", "CITY", "STATE", "ZIP5", "STREET_NUM", others, lexicon)
 
 
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -21,6 +23,11 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return same_address.pairs(same_address.locations(_raw(spark, folder)))
 
 
+def p4_classes(spark: SparkSession, folder: str) -> DataFrame:
+    """Each unlinked sales-order record that denotes a location with the smallest id of its location and how many others."""
+    return same_address.classes(same_address.locations(_raw(spark, folder)))
+
+
 def _forms(rows: DataFrame, source: str) -> DataFrame:
     """(source, id, form, parts) of the parsed rows that state an address; `form` stands for the parts."""
     parts = ["number", "direction", "name", "suffix", "place", "zip"]
@@ -71,5 +78,5 @@ def p6_confidence(spark: SparkSession, folder: str) -> DataFrame:
     return _matches(spark, folder).select(F.col("source").alias("source_table"), F.col("id").cast("bigint").alias("source_id"), F.col("ops_id").alias("ops_location_id"), F.round("confidence", 6).alias("confidence"))
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p6_found, p6_confidence)}
+QUERIES = {f.__name__: f for f in (p4_found, p4_classes, p6_found, p6_confidence)}
 SQL: dict[str, str] = {}

@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cairnfield.llm import addresses as A
 from cairnfield.llm import cross_match as C
@@ -132,3 +133,41 @@ def test_matches_across_sources(spark, tmp_path):
     write(spark, f, "dim_location_keepstock", [(1, "88 Ironledge", "Fort Varnbury", "MO", "64018", None), (2, "88 Ironledge", "Fort Varnbury", "MO", "64018", " "), (3, "88 Ironledge", "Fort Varnbury", "MO", "64018", "u7")], "ID long, ADDRESS1 string, CITY string, PROVINCE string, ZIP5 string, OPS_LOCATION_ID string")
     got = {tuple(r) for r in p6_found(spark, f).collect()}
     assert got == {("dnb", 1, "u1"), ("dnb", 3, "u3"), ("dnb", 6, "u6"), ("keepstock", 1, "u7"), ("keepstock", 2, "u7")}
+
+
+def test_large_reference_gives_the_same_answers(spark, monkeypatch):
+    data = "/root/testdata/sf0.01"
+    if not __import__("pathlib").Path(data).exists():
+        pytest.skip("no test data")
+    zips = spark.read.parquet(f"{data}/zip_reference.parquet")
+    sales, dnb = (spark.read.parquet(f"{data}/dim_location_{n}.parquet") for n in ("sales_order", "dnb"))
+    sales = sales.select("ID", "STREET", "CITY", "STATE", "ZIP5").unionByName(dnb.select(F.col("ID") + 10**9, "PHYS_STRT_AD", "PHYS_CTY", "PHYS_ST_ABRV", "PHYS_ZIP5").toDF("ID", "STREET", "CITY", "STATE", "ZIP5"))
+    odd = [(-1, "1 A St", "Zz", "XX", ""), (-2, "1 A St", "Varnstea", "??", None), (-3, "1 A St", "qq", "VT", "05"), (-4, "1 A St", "x" * 3000, "VT", ""), (-5, None, None, None, None), (-6, "1 A St", "VT", "", "05144"), (-7, "1 A St", "Aldmere VT", "", "0514")]
+    sales = sales.unionByName(spark.createDataFrame(odd, sales.schema))
+    run = lambda: sorted(map(tuple, S.parsed(sales, zips, "ID", "STREET", "CITY", "STATE", "ZIP5").collect()))
+    small = run()
+    monkeypatch.setattr(S, "INDEX_ROWS", 2)
+    assert run() == small
+
+
+def test_additions_that_the_data_lacks_are_learnt(spark):
+    rng = random.Random(3)
+    rows = []
+    for i in range(300):
+        name = "".join(rng.choices("bcdfglmnprst", k=3)) + "a" + "".join(rng.choices("elnorst", k=4))
+        for shown in (f"{i} {name} Expressway kindly ring bell", f"{i} {name} Expy", f"{i} {name} kindly ring bell", "Foundry Clerk"):
+            rows.append((len(rows), shown, f"{i} {name} expw" if shown == "Foundry Clerk" else "Foundry Clerk", i))
+    df = spark.createDataFrame(rows, "ID long, STREET string, EXTRA string, truth long").selectExpr("*", "'Wexley' CITY", "'AL' STATE", "'35193' ZIP5")
+    lexicon = S.learn(df, "STREET", ("EXTRA",))
+    assert {"kindly", "ring", "bell"} <= lexicon.tails and "foundry clerk" in lexicon.fillers
+    parsed = S.parsed(df, spark.createDataFrame(ZIPS, "ZIP5 string, CITY string, STATE string"), "ID", "STREET", "CITY", "STATE", "ZIP5", None, ("EXTRA",), lexicon)
+    got = {tuple(r) for r in S.pairs(S.locations(parsed)).collect()}
+    want = {(a, b) for t in range(300) for a, b in itertools.combinations([4 * t, 4 * t + 1, 4 * t + 2, 4 * t + 3], 2)}
+    assert got <= want and len(got) > 0.9 * len(want)
+
+
+def test_alignment_of_words():
+    agree = lambda a, b: S.align(a.split(), b.split()) <= S.ACCEPT
+    assert agree("12 st johns avenue", "12 saint johns ave") and agree("12 mt oak road", "12 mount oak") and agree("12 moss reach lane", "12 mossraech lane") and agree("12 north main street", "12 main")
+    assert not agree("12 main street", "12 main oak street") and not agree("12 main street", "12 mian avenue") and not agree("12 5th street", "12 6th street") and not agree("12 ash b street", "12 ash c street")
+    assert agree("12 mian street/avenue", "12 main avenue")
