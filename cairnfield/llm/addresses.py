@@ -240,6 +240,14 @@ def slips(name: str) -> int:
     return 1 if len(name) < 6 else 2 if len(name) < 9 else 3
 
 
+def letters(name: str) -> int:
+    """The set of a name's characters, folded into the bits of a word."""
+    mask = 0
+    for c in set(name):
+        mask |= 1 << ord(c) % 61
+    return mask
+
+
 def rated(edits: int, code: str, zips: Iterable[str]) -> tuple[float, int]:
     """How far a listed city is from a typed one: edits and how its zips agree, then the edits alone."""
     if not code:
@@ -267,6 +275,7 @@ class CityIndex:
                     self.by_zip[code].add(key)
                     self.zips[key].add(code)
         self.everywhere = set().union(*self.by_state.values()) if self.by_state else set()
+        self.letters = {name: letters(name) for name in self.by_name}
         self.known = lru_cache(200_000)(self._find)
 
     def find(self, city: str | None, state: str | None, code: str | None) -> str:
@@ -283,9 +292,12 @@ class CityIndex:
         if not name:
             near = {c for c in self.by_zip.get(code, ()) if not state or c[0] == state}
             return "|".join(next(iter(near))) if len(near) == 1 else ""
+        if code and code in self.zips.get((state, name), ()):
+            return f"{state}|{name}"  # nothing can be nearer
         pool = self.by_state.get(state) or (self.by_zip.get(code, set()) | self.by_name.get(name, set())) or self.everywhere
         most = slips(name)
-        scored = [(*rated(d, code, self.zips[key]), key) for key in pool if (d := distance(name, key[1], most)) <= most]
+        mask = letters(name)  # an edit changes two letters of the set at most
+        scored = [(*rated(d, code, self.zips[key]), key) for key in pool if (mask ^ self.letters[key[1]]).bit_count() <= 2 * most and (d := distance(name, key[1], most)) <= most]
         scored.sort()
         if scored and (len(scored) == 1 or scored[0][:2] != scored[1][:2]):
             return "|".join(scored[0][2])

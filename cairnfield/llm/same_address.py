@@ -21,6 +21,7 @@ Nulls and blanks are missing parts. Repeated rows count once. Empty tables give
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections import Counter
 from collections.abc import Iterator, Sequence
@@ -47,32 +48,39 @@ PARTS = "number string, direction string, name string, suffix string, words stri
 
 
 def _plain(c: Column) -> Column:
-    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(c), "[.'’]", ""), "[^a-z0-9#&À-ɏ]+", " "))
+    return F.trim(F.regexp_replace(F.translate(F.lower(c), ".'’", ""), "[^a-z0-9#&À-ɏ]+", " "))
 
 
 def learn(df: DataFrame, street: str, others: Sequence[str] = ()) -> Lexicon:
     """The words that follow a kind of road in streets four times as often as they stand before one, and the texts without
     a number that fill the other fields, each in at least `LEARNT_SHARE` of the rows."""
-    roads = F.array(*[F.lit(k) for k, v in addresses.SUFFIX_OF.items() if v in addresses.ROADS])
-    words = F.split(_plain(F.col(street)), " ")
-    at = F.array_position(F.transform(F.slice(words, 2, 1_000_000), lambda w: F.array_contains(roads, w)), True).cast("int")
-    lines = df.select(words.alias("words"), at.alias("at")).where("at > 0")
-    side = lambda part, tail: F.transform(F.array_distinct(part), lambda w: F.struct(F.lit("w").alias("kind"), w.alias("text"), F.lit(tail).alias("tail")))
-    seen = lines.select(F.explode(F.concat(side(F.slice("words", F.col("at") + 2, F.lit(1_000_000)), 1), side(F.slice("words", 1, F.col("at")), 0))).alias("x")).select("x.*")
-    seen = seen.where(~F.col("text").rlike(r"\d|^.?$"))
-    for c in others:
-        seen = seen.unionByName(df.select(F.lit("f").alias("kind"), _plain(F.col(c)).alias("text"), F.lit(1).alias("tail")).where(r"text <> '' and not text rlike '\\d' and length(text) < 100"))
-    counted = seen.groupBy("kind", "text").agg(F.sum("tail").alias("n"), F.count("*").alias("all"))
+    roads = sorted(k for k, v in addresses.SUFFIX_OF.items() if v in addresses.ROADS)
+    lines = df.select(F.split(_plain(F.col(street)), " ").alias("words"))
+    marked = lines.select("words", F.array_position(F.transform("words", lambda w, i: (i > 0) & w.isin(roads)), True).cast("int").alias("at")).where("at > 0")
+    known = F.transform("words", lambda w, i: F.when(i + 1 != F.col("at"), F.struct(w.alias("text"), (i + 1 > F.col("at")).cast("int").alias("tail"))))
+    words = marked.select(F.explode(known).alias("x")).select("x.*").groupBy("text").agg(F.sum("tail").alias("n"), F.count("*").alias("all")).where(r"not text rlike '\\d|^.?$'").select(F.lit("w").alias("kind"), "text", "n", "all")
+    counted = words
+    if others:
+        texts = df.select(F.explode(F.array(*others)).alias("raw")).where("raw <> ''").groupBy("raw").agg(F.count("*").alias("n"))
+        texts = texts.select(_plain(F.col("raw")).alias("text"), "n").where(r"text <> '' and not text rlike '\\d' and length(text) < 100").groupBy("text").agg(F.sum("n").alias("n"))
+        counted = words.unionByName(texts.select(F.lit("f").alias("kind"), "text", "n", F.col("n").alias("all")))
     least = df.agg(F.greatest(F.lit(LEARNT_ROWS), F.count("*") * LEARNT_SHARE).alias("least"))
-    known = counted.crossJoin(F.broadcast(least)).where("n >= least and n > 0.8 * all").select("kind", "text").collect()
-    return Lexicon(*(frozenset(r["text"] for r in known if r["kind"] == k and r["text"] not in addresses.DIRECTION_OF) for k in "wf"))
+    found = counted.crossJoin(F.broadcast(least)).where("n >= least and n > 0.8 * all").select("kind", "text").collect()
+    return Lexicon(*(frozenset(r["text"] for r in found if r["kind"] == k and r["text"] not in addresses.DIRECTION_OF) for k in "wf"))
+
+
+#: The index of the last reference a worker met: its process serves many tasks.
+_HELD: dict[str, CityIndex] = {}
 
 
 def _by_index(rows: DataFrame, listed: list[tuple], schema: str, work_on) -> DataFrame:
-    shared = rows.sparkSession.sparkContext.broadcast(listed)
+    shared, mark = rows.sparkSession.sparkContext.broadcast(listed), uuid.uuid4().hex
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        index = CityIndex(shared.value)
+        index = _HELD.get(mark)
+        if index is None:
+            _HELD.clear()
+            index = _HELD[mark] = CityIndex(shared.value)
         for pdf in batches:
             yield work_on(pdf, index)
 
@@ -212,7 +220,7 @@ def _substitution(a: str, b: str) -> float:
         return 0.0
     if [c for c in a if c.isdigit()] != [c for c in b if c.isdigit()]:
         return 9.0
-    most = 1 if min(len(a), len(b)) < 5 else 2 if min(len(a), len(b)) < 8 else 3
+    most = 0 if min(len(a), len(b)) < 3 else 1 if min(len(a), len(b)) < 5 else 2 if min(len(a), len(b)) < 8 else 3
     edits = addresses.distance(a, b, most)
     return edits / 4 if edits <= most else 9.0
 
