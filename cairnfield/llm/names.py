@@ -2,14 +2,21 @@
 
 Names are cut into tokens; a token weighs the more the fewer listed names hold it, and legal forms weigh little. The
 distinct tokens of both sides are joined by set similarity of their q-grams with prefix filtering: of each token only
-the rarest q-grams are indexed, so many that two tokens of the stated similarity must share one. A listed name is a
-candidate where one of its heaviest tokens, again as many as the needed total weight demands, has a similar typed token.
-Candidates are verified by soft weighted token similarity: every token takes its best partner by edits, by abbreviation
-(a beginning or a skeleton of letters in order), by nickname or by initial; the similarity is the weight of what found a
-partner, both ways, so a rare token without a partner on either side forbids the match.
-
-Cases: null, blank and filler names denote nothing, nor does a name that fits two listed names equally well. Repeated
-rows give one row. Empty tables give no rows. Other columns play no part.
+the rarest q-grams are indexed, so many that two tokens of the stated similarity must share one. Beside them meet tokens
+that are equal, a nickname and its given name, an abbreviation and the words whose letters it has in order (by its first
+three), and a word run together with the listed one it starts or ends with. Of these pairs of tokens only those that are
+alike stay. A listed name is a candidate where one of its heaviest tokens, again as many as the needed total weight
+demands, has an alike typed token. Candidates are verified by soft weighted token similarity: every token takes its best
+partner; the similarity is the weight of what found a partner, both ways, so a rare token without a partner on either side
+forbids the match. What people add to names (stores, plants, remarks) is learnt: a word that no listed name has, and that
+stands beside the own words of three listed names or more which mostly have nothing alike, weighs little, as do bare numbers.
+
+Typed names with the same tokens are linked once, however many records have them.
+
+Cases: null, blank and filler names denote nothing. A name with the very tokens of one listed name denotes that one; any
+other that fits two listed names nearly equally well denotes neither. A typed token of one or two letters makes a name a
+candidate only where it equals the listed one. Repeated rows give one row. Empty tables give no rows. Other columns play
+no part.
 """
 
 from __future__ import annotations
@@ -29,29 +36,40 @@ from cairnfield.session import cut, parallelism
 #: Legal forms and the like, which tell names apart the least.
 LEGAL = "company corporation incorporated llc limited holdings group associates and sons international of the"
 LEGAL_SHORT = "ll l co comp cmpny corp inc incorp ltd hldgs holding grp gp assoc assocs intl internatl internl l c"
-#: Given names and their short forms.
+#: Given names and their usual short forms.
 NICKNAMES = {
-    "alexander": "alex al sandy alec xander", "charles": "charlie chuck chas", "dorothy": "dot dottie dolly", "edward": "ed eddie ted ned", "elizabeth": "liz beth betty eliza lizzie betsy", "francisco": "frank paco pancho cisco",
-    "gerald": "jerry gerry", "james": "jim jimmy jamie jas", "joseph": "joe joey jos", "katherine": "kathy kate katie kat kitty", "lawrence": "larry lars", "margaret": "maggie meg peggy marge", "patricia": "pat patty trish tricia",
-    "rebecca": "becky becca", "richard": "rick dick rich ricky", "robert": "bob rob bobby robbie bert", "susan": "sue susie suzy", "theodore": "ted teddy theo", "victoria": "vicky vicki tori", "william": "bill will billy willie wm",
+    "abigail": "abby gail", "abraham": "abe", "albert": "al bert", "alexander": "alex al sandy alec xander", "alfred": "al fred alfie", "andrew": "andy drew", "anthony": "tony", "arthur": "art artie", "barbara": "barb babs",
+    "benjamin": "ben benny", "bernard": "bernie", "catherine": "cathy kate katie cat", "charles": "charlie chuck chas", "christine": "chris chrissy tina", "christopher": "chris kit topher", "cynthia": "cindy", "daniel": "dan danny",
+    "david": "dave davey", "deborah": "deb debbie", "dennis": "denny", "donald": "don donny", "dorothy": "dot dottie dolly", "douglas": "doug", "edward": "ed eddie ted ned", "eleanor": "ellie nell nora", "elizabeth": "liz beth betty eliza lizzie betsy",
+    "ernest": "ernie", "eugene": "gene", "florence": "flo", "frances": "fran frannie", "francis": "frank", "francisco": "frank paco pancho cisco", "franklin": "frank", "frederick": "fred freddy rick", "gabriel": "gabe", "george": "geo",
+    "gerald": "jerry gerry", "gregory": "greg", "guadalupe": "lupe", "harold": "hal harry", "henry": "hank harry", "ignacio": "nacho", "isabel": "bella izzy", "jacob": "jake", "james": "jim jimmy jamie jas", "janet": "jan", "jeffrey": "jeff",
+    "jennifer": "jen jenny", "jeremiah": "jerry", "jesus": "chuy", "john": "jack johnny", "jonathan": "jon", "jose": "pepe", "joseph": "joe joey jos", "joshua": "josh", "judith": "judy", "katherine": "kathy kate katie kat kitty", "kenneth": "ken kenny",
+    "kimberly": "kim", "lawrence": "larry lars", "leonard": "len lenny leo", "louis": "lou louie", "manuel": "manny", "margaret": "maggie meg peggy marge", "martin": "marty", "matthew": "matt", "michael": "mike mick mickey", "nancy": "nan",
+    "nathaniel": "nate nat", "nicholas": "nick nicky", "oliver": "ollie", "pamela": "pam", "patricia": "pat patty trish tricia", "patrick": "pat paddy", "peter": "pete", "philip": "phil", "rafael": "rafa", "randall": "randy", "raymond": "ray",
+    "rebecca": "becky becca", "richard": "rick dick rich ricky", "robert": "bob rob bobby robbie bert", "ronald": "ron ronnie", "rosemary": "rose rosie", "russell": "russ", "samuel": "sam sammy", "sandra": "sandy", "stanley": "stan", "stephanie": "steph",
+    "stephen": "steve", "steven": "steve", "susan": "sue susie suzy", "theodore": "ted teddy theo", "theresa": "terry tess", "thomas": "tom tommy", "timothy": "tim timmy", "victor": "vic", "victoria": "vicky vicki tori", "vincent": "vince vinny",
+    "virginia": "ginny", "walter": "walt wally", "william": "bill will billy willie wm",
 }
-#: Remarks beside a name.
-REMARKS = r"do not use|\bcod\b|\(old\)|accts? payable|accounts payable|\ba/p\b|\bc/o\b|\battn\b|\bstore #?\d+|\bplant #?\d+|\b(?:site|branch|unit|dept|location|loc|bldg|whse) #?\d+|[#/-] ?\d+\s*$|\d+"
-NICK = {n: {full for full, shorts in NICKNAMES.items() if n in shorts.split()} for shorts in NICKNAMES.values() for n in shorts.split()}
+NICK: dict[str, set[str]] = {}
+for _full, _shorts in NICKNAMES.items():
+    for _short in _shorts.split():
+        NICK.setdefault(_short, set()).add(_full)
 _LEGAL = {*LEGAL.split(), *LEGAL_SHORT.split()}
-_REMARK = re.compile(REMARKS)
 _CAMEL = re.compile(r"(?<=[a-zà-ɏ]{3})(?=[A-ZÀ-Þ][a-z])")
 Q, SIMILAR, NEEDED = 2, 0.3, 0.5
+#: How alike tokens are at least to make a name a candidate, and beside how many listed names' own words an addition stands.
+ALIKE, BESIDE = 0.7, 3
+#: In which share of those names an addition has an alike token at most.
+MEANT = 0.2
 
 
 def tokens(name: str | None) -> list[str]:
-    """The words of a name without remarks and signs."""
-    text = _CAMEL.sub(" ", html.unescape(name or ""))
-    text = _REMARK.sub(" ", text.lower())
+    """The words and numbers of a name without signs."""
+    text = _CAMEL.sub(" ", html.unescape(name or "")).lower()
     text = re.sub(r"\b([a-z])\.\s?(?=[a-z]\b)", r"\1", text)
     text = re.sub(r"\bl\s?l\s?c\b", "llc", text)
     text = re.sub(r"['’]", "", text)
-    found = re.findall(r"[^\W\d_]+", text)
+    found = re.findall(r"[^\W_]+", text)
     if "dba" in found:  # the trade name repeats the surname
         at = found.index("dba")
         found = [*found[:at], *[w for w in found[at + 1 :] if w not in found[:at]]]
@@ -69,6 +87,8 @@ def likeness(a: str, b: str) -> float:
     """How surely token `a`, typed, stands for token `b`, listed."""
     if a == b:
         return 1.0
+    if a.isdigit() or b.isdigit():
+        return 0.0
     if b in NICK.get(a, ()):
         return 0.97
     if len(a) == 1:
@@ -96,18 +116,27 @@ def is_legal(token: str) -> bool:
     return token in _LEGAL or (len(token) >= 4 and any(distance(token, x, 1) <= 1 for x in _LEGAL if len(x) >= 4))
 
 
-def soft_similarity(typed: Sequence[str], listed: Sequence[str], weights: dict[str, float], heaviest: float) -> tuple[float, float]:
-    """The share of the listed name's weight that found a typed partner, and the share of the typed weight with a listed one."""
+def split_by(word: str, listed: Sequence[str]) -> tuple[str, str] | None:
+    """A word cut in two where it starts or ends with a listed one of five letters or more."""
+    for b in listed:
+        if len(b) >= 5 and len(word) >= len(b) + 2:
+            if word.startswith(b):
+                return b, word[len(b) :]
+            if word.endswith(b):
+                return word[: -len(b)], b
+    return None
+
+
+def soft_similarity(typed: Sequence[str], listed: Sequence[str], weights: dict[str, float], heaviest: float, light: Sequence[str] = ()) -> tuple[float, float]:
+    """The share of the listed name's weight that found a typed partner, and the share of the typed weight with a listed one;
+    `light` are the typed tokens that weigh little. A number of the listed name must be typed."""
+    if any(b.isdigit() and b not in typed for b in listed):
+        return 0.0, 0.0
     weigh = lambda t: 0.05 * heaviest if t in _LEGAL else weights.get(t, heaviest)
-    words, glued = list(typed), []
-    for w in typed:  # a typed word may be two listed ones without the blank
-        for b in listed:
-            if len(w) >= len(b) + 2 and len(b) >= 5 and distance(w[: len(b)], b, 1) <= 1:
-                glued.append((w, b))
-    for w, b in glued:
-        if w in words and w not in listed and all(likeness(w, x) < 0.85 for x in listed):
-            at = words.index(w)
-            words[at : at + 1] = [w[: len(b)], w[len(b) :]]
+    words = []
+    for w in typed:
+        halves = None if w in listed or len(w) < 7 or any(likeness(w, x) >= 0.85 for x in listed) else split_by(w, listed)
+        words += halves or [w]
     forward = back = total = all_typed = 0.0
     best = {w: 0.0 for w in words}
     partner = dict.fromkeys(words, "")
@@ -124,7 +153,8 @@ def soft_similarity(typed: Sequence[str], listed: Sequence[str], weights: dict[s
     for a in words:
         if is_legal(a):
             continue
-        w = weigh(partner[a]) if best[a] >= 0.7 else (0.15 * heaviest if len(a) == 1 else weights.get(a, heaviest))
+        alone = 0.15 if len(a) == 1 else 0.05 if a in light or a.isdigit() else 0.0
+        w = weigh(partner[a]) if best[a] >= 0.7 else (alone * heaviest or weights.get(a, heaviest))
         all_typed += w
         back += w * best[a]
     return forward / total if total else 0.0, back / all_typed if all_typed else 0.0
@@ -137,7 +167,7 @@ def _tokenised(df: DataFrame) -> DataFrame:
         for pdf in batches:
             yield pd.DataFrame({"id": pdf["id"], "tokens": [tokens(n if isinstance(n, str) else None) for n in pdf["name"]]})
 
-    return df.mapInPandas(work, f"id {df.schema['id'].dataType.simpleString()}, tokens array<string>")
+    return df.select("id", "name").mapInPandas(work, f"id {df.schema['id'].dataType.simpleString()}, tokens array<string>")
 
 
 def similar_tokens(left: DataFrame, right: DataFrame, threshold: float = SIMILAR) -> DataFrame:
@@ -157,43 +187,77 @@ def similar_tokens(left: DataFrame, right: DataFrame, threshold: float = SIMILAR
     return met.where(shared >= threshold * (F.size("ga") + F.size("gb") - shared)).select("a", "b")
 
 
+def _abbreviations(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(a, b): typed tokens of three letters or more and the longer listed ones whose letters start as theirs and have their
+    second and third in this order; nicknames and given names; words run together and the listed ones at their ends."""
+    word, letters = F.col("token"), F.length("token")
+    ahead = lambda i, f: F.transform(F.sequence(i + 1, letters), f)
+    pairs = F.flatten(F.transform(F.sequence(F.lit(2), letters - 1), lambda i: ahead(i, lambda j: F.concat(word.substr(1, 1), word.substr(i, F.lit(1)), word.substr(j, F.lit(1))))))
+    starts = right.where("length(token) > 3").select(word.alias("b"), F.explode(F.array_distinct(pairs)).alias("key"))
+    short = left.where("length(token) > 2").select(word.alias("a"), F.left("token", F.lit(3)).alias("key"))
+    short = short.join(starts, "key").where("length(a) < length(b)").select("a", "b")
+    nick = F.expr(f"explode(map_from_entries(array({', '.join(f"struct('{k}', array({', '.join(repr(v) for v in sorted(full))}))" for k, full in sorted(NICK.items()))}))[token])")
+    named = left.where(word.isin(*NICK)).select(word.alias("a"), nick.alias("b")).join(right.select(word.alias("b")), "b").select("a", "b")
+    ends = left.where("length(token) > 6").select(word.alias("a"), F.explode(F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(5), letters - 2), lambda k: F.array(F.left("token", k), F.right("token", k)))))).alias("b"))
+    return short.unionByName(named).unionByName(ends.join(right.where("length(token) > 4").select(word.alias("b")), "b").select("a", "b"))
+
+
+def alike(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(a, b, s): the alike pairs of a typed token of `left` and a listed one of `right` (columns `token`), and how alike; a
+    word run together with a listed one counts as that one."""
+    same = left.join(right, "token").select(F.col("token").alias("a"), F.col("token").alias("b"))
+    met = same.unionByName(similar_tokens(left.where("length(token) > 2"), right)).unionByName(_abbreviations(left, right)).distinct()
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            scores = [max(likeness(a, b), 1.0 if split_by(a, (b,)) else 0.0) for a, b in zip(pdf["a"], pdf["b"], strict=True)]
+            out = pdf.assign(s=scores)
+            yield out[out["s"] >= ALIKE]
+
+    return met.repartition(parallelism(left.sparkSession), "a", "b").mapInPandas(work, "a string, b string, s double")
+
+
 def link(typed: DataFrame, listed: DataFrame, needed: float = NEEDED) -> DataFrame:
     """(typed_id, listed_id, similarity) for (id, name) rows: the listed name that each typed name denotes, if any."""
     parts_n = parallelism(typed.sparkSession)
     listed = cut(_tokenised(listed.distinct()).where("size(tokens) > 0"))
-    typed = cut(_tokenised(typed.repartition(parts_n, "id").distinct()).where("size(tokens) > 0"))
+    rendered = cut(_tokenised(typed.where("name is not null").groupBy("name").agg(F.collect_set("id").alias("id")).repartition(parts_n)).where("size(tokens) > 0").withColumn("key", F.array_join("tokens", " ")))
+    names = cut(rendered.select("key", "tokens").distinct())
     n = listed.count()
     spread = listed.select("id", F.explode(F.array_distinct("tokens")).alias("token"))
     weight = F.when(F.col("token").isin(list(_LEGAL)), 0.3).otherwise(F.log(1 + F.lit(n) / F.col("df")))
-    weights = cut(spread.groupBy("token").agg(F.count("*").alias("df")).select("token", weight.alias("w")))
-    heavy = spread.join(weights, "token").groupBy("id").agg(F.reverse(F.array_sort(F.collect_list(F.struct("w", "token")))).alias("order"), F.sum("w").alias("total"))
+    weights = cut(spread.groupBy("token").agg(F.count("*").alias("df")).select("token", "df", weight.alias("w")))
+    own = cut(spread.join(weights, "token").groupBy("id").agg(F.reverse(F.array_sort(F.collect_list(F.struct("w", "token")))).alias("order"), F.sum("w").alias("total")))
     # the heaviest tokens, until the rest weighs too little to reach the needed share
-    index = heavy.select("id", "total", F.posexplode("order").alias("i", "x"), "order")
+    index = own.select("id", "total", F.posexplode("order").alias("i", "x"), "order")
     before = F.aggregate(F.slice("order", 1, F.col("i")), F.lit(0.0), lambda s, x: s + x["w"])
-    index = cut(index.where(F.col("total") - before >= needed * F.col("total")).select(F.col("id").alias("listed_id"), F.col("x.token").alias("b")))
-    # typed tokens with the beginnings of long ones, which may be two words glued together
-    t = typed.select("id", F.explode(F.array_distinct("tokens")).alias("token")).where(F.length("token") > 2)
-    longer = t.where(F.length("token") > 12).select("id", "token", F.explode(F.array(*[F.substring("token", 1, k) for k in (7, 9, 11)])).alias("part"))
-    parts = cut(t.select("id", F.col("token").alias("part")).unionByName(longer.select("id", "part")).distinct())
-    alike = similar_tokens(parts.select(F.col("part").alias("token")).distinct(), index.select(F.col("b").alias("token")).distinct())
-    candidates = parts.join(alike, parts["part"] == alike["a"]).join(index, "b").select(F.col("id").alias("typed_id"), "listed_id").distinct()
-    rows = candidates.join(typed.select(F.col("id").alias("typed_id"), F.col("tokens").alias("ta")), "typed_id").join(listed.select(F.col("id").alias("listed_id"), F.col("tokens").alias("tb")), "listed_id")
-    own = spread.join(weights, "token").groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("token", "w"))).alias("own"))
-    rows = rows.join(own.select(F.col("id").alias("listed_id"), "own"), "listed_id")
+    index = index.where(F.col("total") - before >= needed * F.col("total")).select(F.col("id").alias("listed_id"), F.col("x.token").alias("b"))
+    parts = cut(names.select("key", F.explode(F.array_distinct("tokens")).alias("a")))
+    near = cut(alike(parts.select(F.col("a").alias("token")).distinct(), weights.select("token")))
+    # additions: no listed token, and beside the own words of several listed names that have nothing alike
+    strange = parts.where("length(a) > 1 and not a rlike '^[0-9]+$'").join(weights.select(F.col("token").alias("a")), "a", "left_anti")
+    rare = weights.where("df = 1 and length(token) > 3").join(spread, "token").select(F.col("token").alias("a"), F.col("id").alias("listed_id"))
+    met = cut(strange.join(parts.join(rare, "a").select("key", "listed_id"), "key").select("a", "listed_id").distinct())
+    meant = met.join(spread.select(F.col("id").alias("listed_id"), F.col("token").alias("b")), "listed_id").join(near.select("a", "b"), ["a", "b"]).select("a", "listed_id").distinct().groupBy("a").agg(F.count("*").alias("m"))
+    beside = met.groupBy("a").agg(F.count("*").alias("k")).join(meant, "a", "left").where((F.col("k") >= BESIDE) & (F.coalesce("m", F.lit(0)) <= MEANT * F.col("k"))).select("a")
+    light = strange.join(beside, "a").groupBy("key").agg(F.collect_set("a").alias("light"))
+    candidates = parts.join(near, "a").join(index, "b").select("key", "listed_id").distinct()
+    rows = candidates.join(names.join(light, "key", "left").select("key", F.col("tokens").alias("ta"), F.coalesce("light", F.array().cast("array<string>")).alias("light")), "key")
+    rows = rows.join(listed.select(F.col("id").alias("listed_id"), F.col("tokens").alias("tb")), "listed_id").join(own.select(F.col("id").alias("listed_id"), "order"), "listed_id")
     heaviest = float(weights.agg(F.max("w")).first()[0] or 1.0)
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             scores = []
-            for ta, tb, w in zip(pdf["ta"], pdf["tb"], pdf["own"], strict=True):
-                forward, back = soft_similarity(list(ta), list(tb), dict(w), heaviest)
+            for ta, tb, order, few in zip(pdf["ta"], pdf["tb"], pdf["order"], pdf["light"], strict=True):
+                forward, back = soft_similarity(list(ta), list(tb), {x["token"]: x["w"] for x in order}, heaviest, list(few))
                 scores.append(min(forward, 1.0) * 0.4 + back * 0.6 if forward >= needed and back >= 0.75 else 0.0)
-            out = pdf[["typed_id", "listed_id"]].assign(similarity=scores)
+            out = pdf[["key", "listed_id"]].assign(similarity=scores, exact=[list(a) == list(b) for a, b in zip(pdf["ta"], pdf["tb"], strict=True)])
             yield out[out["similarity"] > 0]
 
-    kinds = f"typed_id {typed.schema['id'].dataType.simpleString()}, listed_id {listed.schema['id'].dataType.simpleString()}, similarity double"
-    scored = cut(rows.select("typed_id", "listed_id", "ta", "tb", "own").repartition(parts_n, "typed_id", "listed_id").mapInPandas(verify, kinds))
-    top = scored.groupBy("typed_id").agg(F.max("similarity").alias("top"))
-    near = scored.join(top, "typed_id").where(F.col("similarity") >= F.col("top") - 0.03)
-    best = near.groupBy("typed_id").agg(F.max_by("listed_id", F.struct("similarity", "listed_id")).alias("listed_id"), F.max("similarity").alias("similarity"), F.count("*").alias("n"))
-    return best.where("n = 1").drop("n")
+    kinds = f"key string, listed_id {listed.schema['id'].dataType.simpleString()}, similarity double, exact boolean"
+    scored = cut(rows.select("key", "listed_id", "ta", "tb", "order", "light").repartition(parts_n, "key", "listed_id").mapInPandas(verify, kinds))
+    top = scored.groupBy("key").agg(F.max("exact").alias("any"), F.max("similarity").alias("top"))
+    close = scored.join(top, "key").where(F.when(F.col("any"), F.col("exact")).otherwise(F.col("similarity") >= F.col("top") - 0.03))
+    best = close.groupBy("key").agg(F.max("listed_id").alias("listed_id"), F.max("similarity").alias("similarity"), F.count("*").alias("n")).where("n = 1")
+    return best.join(rendered.select("key", F.explode("id").alias("typed_id")), "key").select("typed_id", "listed_id", "similarity").distinct()

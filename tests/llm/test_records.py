@@ -106,3 +106,19 @@ def test_inferred_quality(spark, monkeypatch):
     again, _ = R.infer(df, 3)
     monkeypatch.setattr(R, "PATTERNS", 10**6)
     assert all(np.allclose(again[k], v) for k, v in R.infer(df, 3)[0].items())
+
+
+def test_short_names_numbers_and_exact_names(spark):
+    listed = [("A", "HP Inc"), ("B", "3M Company"), ("C", "BP"), ("D", "GE Aerospace"), ("E", "Studio 54 Dance"), ("F", "Torvald Textile LLC"), ("G", "Torvald Textile Holdings"), ("H", "Torvald Textile Mills"), ("I", "Margaret Ostrum Bakery"), ("J", "Ostrum Manufacturing")]
+    typed = {"HP Inc": "A", "hp": "A", "3M Company": "B", "3m": "B", "BP": "C", "GE Aerospace": "D", "STUDIO 54 DANCE #7": "E", "Studio 55 Dance": None, "Torvald Textile LLC": "F", "Peggy Ostrum Bakery": "I", "OSTRUM MFG": "J", "X": None, "B": None}
+    left = spark.createDataFrame(list(enumerate(typed)), "id long, name string")
+    got = {list(typed)[r.typed_id]: r.listed_id for r in N.link(left, spark.createDataFrame(listed, "id string, name string")).collect()}
+    assert got == {k: v for k, v in typed.items() if v}
+
+
+def test_additions_are_learnt(spark):
+    listed = [(f"L{i}", f"{n} {k}") for i, (n, k) in enumerate(itertools.product(("Brondavik", "Cestomar", "Dulvernia", "Ekorwick"), ("Cheese", "Optics")))]
+    names = [(i, n.replace(" ", "x " if k % 2 else "y ")) for k, (i, n) in enumerate(listed)]  # every name's first word its own
+    typed_rows = spark.createDataFrame([(k, f"{n} annex ketteringhall {k}") for k, (_, n) in enumerate(names)] + [(90, "Ketteringhall Optics"), (91, "Zarkonia Optics")], "id long, name string")
+    got = {r.typed_id: r.listed_id for r in N.link(typed_rows, spark.createDataFrame(names, "id string, name string")).collect()}
+    assert got == {k: i for k, (i, _) in enumerate(names)}
