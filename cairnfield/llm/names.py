@@ -5,8 +5,8 @@ distinct tokens of both sides are joined by set similarity of their q-grams with
 the rarest q-grams are indexed, so many that two tokens of the stated similarity must share one. Beside them meet tokens
 that are equal, a nickname and its given name, an abbreviation and the words whose letters it has in order (by its first
 three), and a word run together with the listed one it starts or ends with. Of these pairs of tokens only those that are
-alike stay. A listed name is a candidate where one of its heaviest tokens, again as many as the needed total weight
-demands, has an alike typed token. Candidates are verified by soft weighted token similarity: every token takes its best
+alike stay. A listed name is a candidate where one of the heaviest typed tokens, again as many as the needed share of the
+weight demands, has an alike token in it. Candidates are verified by soft weighted token similarity: every token takes its best
 partner; the similarity is the weight of what found a partner, both ways, so a rare token without a partner on either side
 forbids the match. What people add to names (stores, plants, remarks) is learnt: a word that no listed name has, and that
 stands beside the own words of three listed names or more which mostly have nothing alike, weighs little, as do bare numbers.
@@ -59,6 +59,8 @@ _CAMEL = re.compile(r"(?<=[a-zà-ɏ]{3})(?=[A-ZÀ-Þ][a-z])")
 Q, SIMILAR, NEEDED = 2, 0.3, 0.5
 #: How alike tokens are at least to make a name a candidate, and beside how many listed names' own words an addition stands.
 ALIKE, BESIDE = 0.7, 3
+#: Letters of a word that is abbreviated, at most.
+LONGEST = 40
 #: In which share of those names an addition has an alike token at most.
 MEANT = 0.2
 
@@ -97,7 +99,7 @@ def likeness(a: str, b: str) -> float:
     most = 0 if short < 4 else 1 if short < 6 else 2
     if most and (d := distance(a, b, most)) <= most:
         return 1 - 0.8 * d / max(len(a), len(b))
-    if len(a) < len(b) and a[0] == b[0]:
+    if len(a) < len(b) <= LONGEST and a[0] == b[0]:
         if b.startswith(a):
             return 0.9 if len(a) > 2 else 0.75
         rest = iter(b)
@@ -193,13 +195,16 @@ def _abbreviations(left: DataFrame, right: DataFrame) -> DataFrame:
     word, letters = F.col("token"), F.length("token")
     ahead = lambda i, f: F.transform(F.sequence(i + 1, letters), f)
     pairs = F.flatten(F.transform(F.sequence(F.lit(2), letters - 1), lambda i: ahead(i, lambda j: F.concat(word.substr(1, 1), word.substr(i, F.lit(1)), word.substr(j, F.lit(1))))))
-    starts = right.where("length(token) > 3").select(word.alias("b"), F.explode(F.array_distinct(pairs)).alias("key"))
+    starts = right.where(f"length(token) between 4 and {LONGEST}").select(word.alias("b"), F.explode(F.array_distinct(pairs)).alias("key"))
     short = left.where("length(token) > 2").select(word.alias("a"), F.left("token", F.lit(3)).alias("key"))
     short = short.join(starts, "key").where("length(a) < length(b)").select("a", "b")
     nick = F.expr(f"explode(map_from_entries(array({', '.join(f"struct('{k}', array({', '.join(repr(v) for v in sorted(full))}))" for k, full in sorted(NICK.items()))}))[token])")
     named = left.where(word.isin(*NICK)).select(word.alias("a"), nick.alias("b")).join(right.select(word.alias("b")), "b").select("a", "b")
-    ends = left.where("length(token) > 6").select(word.alias("a"), F.explode(F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(5), letters - 2), lambda k: F.array(F.left("token", k), F.right("token", k)))))).alias("b"))
-    return short.unionByName(named).unionByName(ends.join(right.where("length(token) > 4").select(word.alias("b")), "b").select("a", "b"))
+    long = right.where("length(token) > 4")
+    lengths = long.agg(F.collect_set(F.length("token")).alias("lengths"))
+    cuts = F.flatten(F.transform(F.filter("lengths", lambda k: k <= letters - 2), lambda k: F.array(F.left("token", k), F.right("token", k))))
+    ends = left.where("length(token) > 6").crossJoin(F.broadcast(lengths)).select(word.alias("a"), F.explode(F.array_distinct(cuts)).alias("b"))
+    return short.unionByName(named).unionByName(ends.join(long.select(word.alias("b")), "b").select("a", "b"))
 
 
 def alike(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -227,11 +232,8 @@ def link(typed: DataFrame, listed: DataFrame, needed: float = NEEDED) -> DataFra
     spread = listed.select("id", F.explode(F.array_distinct("tokens")).alias("token"))
     weight = F.when(F.col("token").isin(list(_LEGAL)), 0.3).otherwise(F.log(1 + F.lit(n) / F.col("df")))
     weights = cut(spread.groupBy("token").agg(F.count("*").alias("df")).select("token", "df", weight.alias("w")))
-    own = cut(spread.join(weights, "token").groupBy("id").agg(F.reverse(F.array_sort(F.collect_list(F.struct("w", "token")))).alias("order"), F.sum("w").alias("total")))
-    # the heaviest tokens, until the rest weighs too little to reach the needed share
-    index = own.select("id", "total", F.posexplode("order").alias("i", "x"), "order")
-    before = F.aggregate(F.slice("order", 1, F.col("i")), F.lit(0.0), lambda s, x: s + x["w"])
-    index = index.where(F.col("total") - before >= needed * F.col("total")).select(F.col("id").alias("listed_id"), F.col("x.token").alias("b"))
+    own = cut(spread.join(weights, "token").groupBy("id").agg(F.collect_list(F.struct("w", "token")).alias("order")))
+    heaviest = float(weights.agg(F.max("w")).first()[0] or 1.0)
     parts = cut(names.select("key", F.explode(F.array_distinct("tokens")).alias("a")))
     near = cut(alike(parts.select(F.col("a").alias("token")).distinct(), weights.select("token")))
     # additions: no listed token, and beside the own words of several listed names that have nothing alike
@@ -241,10 +243,19 @@ def link(typed: DataFrame, listed: DataFrame, needed: float = NEEDED) -> DataFra
     meant = met.join(spread.select(F.col("id").alias("listed_id"), F.col("token").alias("b")), "listed_id").join(near.select("a", "b"), ["a", "b"]).select("a", "listed_id").distinct().groupBy("a").agg(F.count("*").alias("m"))
     beside = met.groupBy("a").agg(F.count("*").alias("k")).join(meant, "a", "left").where((F.col("k") >= BESIDE) & (F.coalesce("m", F.lit(0)) <= MEANT * F.col("k"))).select("a")
     light = strange.join(beside, "a").groupBy("key").agg(F.collect_set("a").alias("light"))
-    candidates = parts.join(near, "a").join(index, "b").select("key", "listed_id").distinct()
+    # typed tokens, the heaviest first, until the rest can't hold three times the weight that they have without a partner
+    legal = F.col("a").isin(list(_LEGAL)) | (F.length("a").between(4, LONGEST) & F.exists(F.array(*[F.lit(x) for x in sorted(_LEGAL) if len(x) > 3]), lambda x: F.levenshtein(F.left("a", F.lit(LONGEST)), x) < 3))
+    alone = F.when(F.col("legal"), 0.0).when(F.col("a").rlike("^[0-9]+$") | F.col("few"), 0.05 * heaviest).when(F.length("a") == 1, 0.15 * heaviest).otherwise(F.coalesce("w", F.lit(heaviest)))
+    most = near.join(weights.select(F.col("token").alias("b"), F.col("w").alias("wb")), "b").groupBy("a").agg(F.max("wb").alias("most"))
+    weighed = parts.join(weights.select(F.col("token").alias("a"), "w"), "a", "left").join(beside.withColumn("few", F.lit(True)), "a", "left").join(most, "a", "left")
+    weighed = weighed.join(parts.select("a").distinct().where(legal).withColumn("legal", F.lit(True)), "a", "left")
+    weighed = weighed.select("key", F.struct(alone.alias("alone"), F.coalesce("most", F.lit(0.0)).alias("most"), "a").alias("x")).groupBy("key").agg(F.reverse(F.array_sort(F.collect_list("x"))).alias("order"))
+    weigh = lambda part, c: F.aggregate(part, F.lit(0.0), lambda s, x: s + x[c])
+    firsts = F.filter(F.transform("order", lambda x, i: F.when(weigh(F.slice("order", i + 1, F.size("order")), "most") >= 3 * weigh(F.slice("order", F.lit(1), i), "alone"), x["a"])), lambda a: a.isNotNull())
+    asked = weighed.select("key", F.explode(firsts).alias("a"))
+    candidates = asked.join(near, "a").join(spread.select(F.col("id").alias("listed_id"), F.col("token").alias("b")), "b").select("key", "listed_id").distinct()
     rows = candidates.join(names.join(light, "key", "left").select("key", F.col("tokens").alias("ta"), F.coalesce("light", F.array().cast("array<string>")).alias("light")), "key")
     rows = rows.join(listed.select(F.col("id").alias("listed_id"), F.col("tokens").alias("tb")), "listed_id").join(own.select(F.col("id").alias("listed_id"), "order"), "listed_id")
-    heaviest = float(weights.agg(F.max("w")).first()[0] or 1.0)
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
