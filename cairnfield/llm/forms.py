@@ -27,14 +27,18 @@ from pyspark.sql import functions as F
 
 from cairnfield.session import cut, spread
 
-#: Letters of other alphabets drawn like a Latin letter (or one like another), each above the one it becomes.
-LOOK_ALIKES = dict(
-    zip(
-        "аеорсухіјѕһԁԛԝҮԌ" "АВЕКМНОРСТХІЈЅԚԜ" "οΑΒΕΖΗΙΚΜΝΟΡΤΥΧ",
-        "aeopcyxijshdqwYG" "ABEKMHOPCTXIJSQW" "oABEZHIKMNOPTYX",
-        strict=True,
-    )
-)
+#: Letters of other alphabets drawn like a Latin letter, by alphabet, each alphabet's letters and what they become.
+LOOK_ALIKE_LETTERS = {
+    "Cyrillic small": ("аеорсухіјѕһԁԛԝӏѵ", "aeopcyxijshdqwlv"),
+    "Cyrillic capital": ("ҮԌАВЕКМНОРСТХІЈЅԚԜӀѴ", "YGABEKMHOPCTXIJSQWIV"),
+    "Greek": ("οϲϳΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹͿ", "ocjABEZHIKMNOPTYXCJ"),
+    "Armenian": ("օսոհցՍՏՕ", "ounhgUSO"),
+    "Latin script g": ("ɡ", "g"),
+    "Cherokee": ("ᎪᏴᏟᎠᎬᎻᎫᏦᏞᎷᏢᏚᎢᏙᎳᏃ", "ABCDEHJKLMPSTVWZ"),
+    "Lisu": ("ꓮꓐꓚꓓꓰꓝꓖꓧꓲꓙꓗꓡꓟꓠꓳꓑꓣꓢꓔꓴꓦꓪꓫꓬꓜ", "ABCDEFGHIJKLMNOPRSTUVWXYZ"),
+    "Coptic capital": ("ⲂⲎⲒⲔⲘⲚⲞⲢⲤⲦⲬ", "BHIKMNOPCTX"),
+}
+LOOK_ALIKES = {a: b for letters, to in LOOK_ALIKE_LETTERS.values() for a, b in zip(letters, to, strict=True)}
 #: Hyphens drawn alike, the micro sign and the increment, drawn like Greek letters.
 SIGNS = {"‐": "-", "‑": "-", "µ": "μ", "∆": "Δ"}
 BLANKS = dict.fromkeys("               　", " ")

@@ -5,7 +5,9 @@ shares of absent sources fall to the others in proportion. Each document of a so
 copies: the whole part for certain, the fraction as the probability of one copy more. The cube method decides those:
 a walk in the null-space of the balancing constraints (tokens and documents of the source) moves the probabilities of
 three documents at a time until one of them is 0 or 1. It runs in buckets of bounded size; the two documents that each
-bucket leaves undecided walk on together, until only the landing of two per source and mixture remains.
+bucket leaves undecided walk on together, until only the landing of two per source and mixture remains. Large documents
+are decided first, so the last ones are small, and the landing takes the outcome whose tokens are nearest to those due,
+where it may exchange one chosen document for one left out, so a source misses its tokens by little.
 
 Cases: documents without tokens, and those of null source, take no part. Sources that no mixture names play no part. A
 mixture all of whose sources are absent has no rows in the list and null shares. Repeated rows of a document are separate documents; ties
@@ -14,6 +16,7 @@ are decided by the seed. Empty tables give no rows. Other columns play no part.
 
 from __future__ import annotations
 
+import itertools
 import zlib
 
 import numpy as np
@@ -30,13 +33,13 @@ EPS = 1e-9
 
 def flight(sizes: np.ndarray, p: np.ndarray, draws: np.random.Generator, land: bool = False) -> np.ndarray:
     """The probabilities after the walk: all but two are 0 or 1, the expected total of sizes and of units kept; with
-    `land` the last ones are decided too."""
+    `land` the last ones are decided too, the sizes' total being missed as little as they allow."""
     p = np.clip(p.astype(float), 0.0, 1.0)
     t = (sizes / max(float(sizes.max(initial=1.0)), 1.0)).tolist()
     out, held = p.tolist(), []
     luck = draws.random(2 * len(out) + 8)
     k = 0
-    for i in range(len(out)):
+    for i in np.argsort(-sizes, kind="stable").tolist():  # large ones first, so that the last to decide are small
         if EPS < out[i] < 1 - EPS:
             held.append(i)
         while len(held) == 3:
@@ -51,20 +54,38 @@ def flight(sizes: np.ndarray, p: np.ndarray, draws: np.random.Generator, land: b
             for x, v in zip(held, u, strict=True):
                 out[x] = min(1.0, max(0.0, out[x] + step * v))
             held = [x for x in held if EPS < out[x] < 1 - EPS]
-    if land:
-        if len(held) == 2:  # the count alone is kept for two
-            a, b = held
-            up, down = min(1 - out[a], out[b]), min(out[a], 1 - out[b])
-            step = up if luck[k] < down / (up + down) else -down
-            out[a], out[b] = out[a] + step, out[b] - step
-            k += 1
-        for x in held:
-            if EPS < out[x] < 1 - EPS:
-                out[x] = float(luck[k] < out[x])
-                k += 1
+    if land and held:
+        _land(t, p, out, held)
     return np.array(out)
 
 
+def _land(t: list[float], p: np.ndarray, out: list[float], held: list[int]) -> None:
+    """Decide the last units: of all their outcomes, each with or without exchanging one chosen unit for one left out, the
+    one whose total of sizes is nearest to the expected one."""
+    size, now = np.array(t), np.array(out)
+    due = float(size @ p)
+    free = (p > EPS) & (p < 1 - EPS)
+    free[held] = False
+    fixed = float(size @ now) - sum(t[i] * out[i] for i in held)
+    taken, left = np.flatnonzero(free & (now > 0.5)), np.flatnonzero(free & (now <= 0.5))
+    left = left[np.argsort(size[left], kind="stable")]
+    best: tuple[float, tuple[float, ...], int | None, int | None] | None = None
+    for choice in itertools.product((0.0, 1.0), repeat=len(held)):
+        lack = due - fixed - sum(t[i] * x for i, x in zip(held, choice, strict=True))
+        if best is None or abs(lack) < best[0] - EPS:
+            best = (abs(lack), choice, None, None)
+        if len(taken) and len(left):
+            at = np.searchsorted(size[left], size[taken] + lack)
+            for near in (np.clip(at - 1, 0, len(left) - 1), np.clip(at, 0, len(left) - 1)):
+                miss = np.abs(lack + size[taken] - size[left[near]])
+                k = int(np.argmin(miss))
+                if miss[k] < best[0] - EPS:
+                    best = (float(miss[k]), choice, int(taken[k]), int(left[near[k]]))
+    _, choice, gone, come = best
+    for i, x in [*zip(held, choice, strict=True), *([(gone, 0.0), (come, 1.0)] if gone is not None else [])]:
+        out[i] = x
+
+
 def plan(sizes: DataFrame, targets: DataFrame, size: str = "tokens") -> DataFrame:
     """(mix_id, source, target_share, max_repeats, n, total, copies) of each target: the copies due to every document of the source."""
     have = sizes.where(f"{size} > 0 and source is not null").groupBy("source").agg(F.count("*").alias("n"), F.sum(size).alias("total"))
@@ -112,8 +133,11 @@ def mixture(sizes: DataFrame, targets: DataFrame, id_col: str = "doc_id", size:
 
 
 def shares(mixed: DataFrame, targets: DataFrame) -> DataFrame:
-    """(mix_id, source, target_share, n_docs, n_repeats, tokens, actual_share) of every target."""
+    """(mix_id, source, target_share, reachable_share, n_docs, n_repeats, tokens, actual_share) of every target;
+    `reachable_share` is the target where the shares of the sources that give nothing fall to the others in proportion."""
     got = mixed.groupBy("mix_id", "source").agg(F.count("*").alias("n_docs"), F.max("repeats").alias("n_repeats"), F.sum(F.col("tokens") * F.col("repeats")).alias("tokens"))
-    whole = got.groupBy("mix_id").agg(F.sum("tokens").alias("whole"))
-    t = targets.select("mix_id", "source", "target_share").distinct().join(got, ["mix_id", "source"], "left").na.fill(0, ["n_docs", "n_repeats", "tokens"]).join(whole, "mix_id", "left")
-    return t.select("mix_id", "source", "target_share", "n_docs", "n_repeats", "tokens", (F.col("tokens") / F.col("whole")).alias("actual_share"))
+    t = targets.select("mix_id", "source", "target_share").distinct().join(got, ["mix_id", "source"], "left").na.fill(0, ["n_docs", "n_repeats", "tokens"])
+    whole = t.groupBy("mix_id").agg(F.sum("tokens").alias("whole"), F.sum(F.when(F.col("tokens") > 0, F.col("target_share"))).alias("present"))
+    t = t.join(whole, "mix_id")
+    share = F.when(F.col("tokens") > 0, F.col("target_share") / F.col("present")).otherwise(0.0)
+    return t.select("mix_id", "source", "target_share", F.when(F.col("whole") > 0, share).alias("reachable_share"), "n_docs", "n_repeats", "tokens", F.when(F.col("whole") > 0, F.col("tokens") / F.col("whole")).alias("actual_share"))

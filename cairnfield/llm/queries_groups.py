@@ -24,7 +24,12 @@ def p2_truth(spark: SparkSession, folder: str) -> DataFrame:
     return representatives.truths(_records(spark, folder)).withColumn("probability", F.round("probability", 6))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_truth)}
+def p2_agreement(spark: SparkSession, folder: str) -> DataFrame:
+    """How often the latent model and the fixed order of trust go together, by field."""
+    return representatives.agreement(_records(spark, folder))
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p2_truth, p2_agreement)}
 
 _DIRS = "|".join(sorted(DIRECTION_OF, key=len, reverse=True))
 _STREET = r"lower(OPS_STREET)"

@@ -8,7 +8,7 @@ distinct patterns; up to `PATTERNS` of them are iterated on the driver, more on
 
 `survivors` states a fixed order of trust instead: of the records whose value is usable, the one of highest usable
 accuracy, then of latest update, then of smallest id. It is what the query p2_found asks for, which no inferred quality
-can replace. Both are aggregations with map-side combination, so a group of any size stays within memory.
+can replace; `agreement` counts how far the two go together. Both are aggregations with map-side combination, so a group of any size stays within memory.
 
 Cases: deleted records and those of null group take no part, nor do groups of one record. Nulls, blanks and unusable
 values are no values; a field without any has no row. Ties fall to the smallest id. Repeated rows count once. Empty
@@ -83,11 +83,14 @@ def _street_forms(df: DataFrame) -> DataFrame:
 
 
 def claims(records: DataFrame) -> DataFrame:
-    """(dup_group_id, field_name, value, source): what each class of source states, distinct."""
-    source = F.coalesce("GEOCODE_LEVEL", F.lit("none")).alias("source")
+    """(dup_group_id, field_name, value, source): what each class of source states, distinct. The table names no source, so a
+    class is what tells how a record came about: the level of its geocode, the tenth of its accuracy and the year of its
+    update. Values compete as they are, streets in one form of writing."""
+    tenth = F.coalesce(F.least(F.floor(F.col("GEOCODE_ACCURACY") * 10), F.lit(9)).cast("string"), F.lit("none"))
+    source = F.concat_ws(" ", F.coalesce("GEOCODE_LEVEL", F.lit("none")), tenth, F.coalesce(F.year("UPDATED_AT").cast("string"), F.lit("none"))).alias("source")
     one = lambda f, v: records.where(f"{f} is not null").select("dup_group_id", F.lit(f).alias("field_name"), v.alias("value"), source)
     streets = _street_forms(one("OPS_STREET", F.col("OPS_STREET")).distinct())
-    return streets.unionByName(one("OPS_ZIP5", F.col("OPS_ZIP5"))).unionByName(one("GEOCODE_ACCURACY", F.format_number("GEOCODE_ACCURACY", 2))).distinct()
+    return streets.unionByName(one("OPS_ZIP5", F.col("OPS_ZIP5"))).unionByName(one("GEOCODE_ACCURACY", F.col("GEOCODE_ACCURACY").cast("string"))).distinct()
 
 
 def _likelihood(patterns: pd.DataFrame, quality: dict[tuple[str, str], tuple[float, float]], prior: dict[str, float]) -> np.ndarray:
@@ -162,3 +165,20 @@ def truths(records: DataFrame) -> DataFrame:
 
     judged = patterns.mapInPandas(judge, "field_name string, pattern string, probability double")
     return values.join(judged, ["field_name", "pattern"]).select("dup_group_id", "field_name", "value", "n_sources", "probability", (F.col("probability") >= 0.5).alias("kept"))
+
+
+def agreement(records: DataFrame) -> DataFrame:
+    """(field_name, n_fields, n_contested, n_kept, n_first, n_first_contested): of the fields with a survivor by the fixed
+    order, how many have several values, for how many the latent model keeps the survivor's value, and for how many it holds
+    none more probable, in all and where there are several values."""
+    judged = truths(records)
+    best = survivors(records).withColumnRenamed("record_id", "ID")
+    one = lambda f, v: records.where(f"{f} is not null").select("dup_group_id", "ID", F.lit(f).alias("field_name"), v.alias("value"))
+    streets = _street_forms(one("OPS_STREET", F.col("OPS_STREET")).distinct())
+    stated = streets.unionByName(one("OPS_ZIP5", F.col("OPS_ZIP5"))).unionByName(one("GEOCODE_ACCURACY", F.col("GEOCODE_ACCURACY").cast("string"))).distinct()
+    chosen = best.join(stated, ["dup_group_id", "ID", "field_name"]).select("dup_group_id", "field_name", "value")
+    tops = judged.groupBy("dup_group_id", "field_name").agg(F.max("probability").alias("top"), F.count("*").alias("n"))
+    rows = chosen.join(judged, ["dup_group_id", "field_name", "value"]).join(tops, ["dup_group_id", "field_name"])
+    first, several = F.col("probability") >= F.col("top") - 1e-12, F.col("n") > 1
+    count = lambda c: F.count_if(c)
+    return rows.groupBy("field_name").agg(F.count("*").alias("n_fields"), count(several).alias("n_contested"), count(F.col("kept")).alias("n_kept"), count(first).alias("n_first"), count(first & several).alias("n_first_contested"))

@@ -1,6 +1,7 @@
 import random
 import unicodedata
 
+import numpy as np
 import pytest
 
 from cairnfield.llm import forms, mixing, tokens
@@ -80,7 +81,6 @@ def test_alike_pairs(spark):
 
 
 def test_flight_keeps_totals():
-    import numpy as np
 
     sizes = np.random.default_rng(3).integers(1, 2000, 500)
     p = np.full(500, 0.37)
@@ -106,3 +106,26 @@ def test_mixture_reaches_its_shares(spark, bucket):
     assert abs(got[1, "big"] - 0.7) < 0.01 and abs(got[1, "small"] - 0.3) < 0.01 and got[2, "big"] == 1.0 and got[2, "gone"] == 0.0 and got[3, "gone"] is None
     assert sorted(map(tuple, found)) == sorted(map(tuple, mixing.mixture(sizes, targets, bucket_docs=bucket).collect()))
     assert mixing.mixture(sizes.limit(0), targets).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_landing_misses_by_little(seed):
+    rng = np.random.default_rng(seed)
+    sizes = np.concatenate([rng.integers(50, 900, 60), rng.integers(20_000, 60_000, 6)])
+    p = np.full(len(sizes), rng.uniform(0.2, 0.8))
+    out = mixing.flight(sizes, p, rng, True)
+    assert set(np.round(out, 9)) <= {0.0, 1.0} and abs(out.sum() - p.sum()) <= 2 and abs(sizes @ out - sizes @ p) < 300  # of 100 000 or more
+
+
+def test_shares_of_absent_sources_fall_to_the_others(spark):
+    mixed = spark.createDataFrame([(1, "a", 5, 10, 2), (1, "b", 6, 20, 1)], "mix_id long, source string, doc_id long, tokens long, repeats int")
+    targets = spark.createDataFrame([(1, "a", 0.3, 2), (1, "b", 0.3, 2), (1, "c", 0.4, 2), (2, "c", 1.0, 1)], "mix_id long, source string, target_share double, max_repeats int")
+    got = {(r.mix_id, r.source): (r.reachable_share, r.actual_share) for r in mixing.shares(mixed, targets).collect()}
+    assert got == {(1, "a"): (0.5, 0.5), (1, "b"): (0.5, 0.5), (1, "c"): (0.0, 0.0), (2, "c"): (None, None)}
+
+
+def test_look_alikes_of_more_alphabets():
+    assert forms.canonical("ꓮꓐꓚ օսո ɡ ӏ Ϲ Ꭺ") == "ABC oun g l C A"
+    for shown in ("ıi", "𝐀A", "²2", "ﬁfi", "αa", "ɑa", "νv"):  # a reader sees a difference
+        assert forms.canonical(shown[0]) != shown[1:]
+    assert all(len(a) == len(b) == 1 and b.isascii() for a, b in forms.LOOK_ALIKES.items())
