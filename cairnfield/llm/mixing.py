@@ -6,8 +6,8 @@ copies: the whole part for certain, the fraction as the probability of one copy
 a walk in the null-space of the balancing constraints (tokens and documents of the source) moves the probabilities of
 three documents at a time until one of them is 0 or 1. It runs in buckets of bounded size; the two documents that each
 bucket leaves undecided walk on together, until only the landing of two per source and mixture remains. Large documents
-are decided first, so the last ones are small, and the landing takes the outcome whose tokens are nearest to those due,
-where it may exchange one chosen document for one left out, so a source misses its tokens by little.
+are decided first, so the last ones are small; where the landing still misses the tokens due by more than `TOLERANCE`, it
+exchanges chosen documents for ones left out.
 
 Cases: documents without tokens, and those of null source, take no part. Sources that no mixture names play no part. A
 mixture all of whose sources are absent has no rows in the list and null shares. Repeated rows of a document are separate documents; ties
@@ -33,7 +33,7 @@ EPS = 1e-9
 
 def flight(sizes: np.ndarray, p: np.ndarray, draws: np.random.Generator, land: bool = False) -> np.ndarray:
     """The probabilities after the walk: all but two are 0 or 1, the expected total of sizes and of units kept; with
-    `land` the last ones are decided too, the sizes' total being missed as little as they allow."""
+    `land` the last ones are decided too."""
     p = np.clip(p.astype(float), 0.0, 1.0)
     t = (sizes / max(float(sizes.max(initial=1.0)), 1.0)).tolist()
     out, held = p.tolist(), []
@@ -55,35 +55,50 @@ def flight(sizes: np.ndarray, p: np.ndarray, draws: np.random.Generator, land: b
                 out[x] = min(1.0, max(0.0, out[x] + step * v))
             held = [x for x in held if EPS < out[x] < 1 - EPS]
     if land and held:
-        _land(t, p, out, held)
+        _land(t, p, out, held, draws)
     return np.array(out)
 
 
-def _land(t: list[float], p: np.ndarray, out: list[float], held: list[int]) -> None:
-    """Decide the last units: of all their outcomes, each with or without exchanging one chosen unit for one left out, the
-    one whose total of sizes is nearest to the expected one."""
-    size, now = np.array(t), np.array(out)
-    due = float(size @ p)
-    free = (p > EPS) & (p < 1 - EPS)
-    free[held] = False
-    fixed = float(size @ now) - sum(t[i] * out[i] for i in held)
-    taken, left = np.flatnonzero(free & (now > 0.5)), np.flatnonzero(free & (now <= 0.5))
+#: The share of the due total that the landing may miss without an exchange, and the exchanges it tries at most.
+TOLERANCE, EXCHANGES = 1e-3, 32
+
+
+def _exchange(size: np.ndarray, taken: np.ndarray, left: np.ndarray, lack: float, enough: float, draws: np.random.Generator) -> tuple[float, int, int] | None:
+    """What is still missed after exchanging a taken unit for a left one, and the two: drawn from the exchanges that miss
+    little enough, else the best."""
+    if not len(taken) or not len(left):
+        return None
     left = left[np.argsort(size[left], kind="stable")]
-    best: tuple[float, tuple[float, ...], int | None, int | None] | None = None
-    for choice in itertools.product((0.0, 1.0), repeat=len(held)):
-        lack = due - fixed - sum(t[i] * x for i, x in zip(held, choice, strict=True))
-        if best is None or abs(lack) < best[0] - EPS:
-            best = (abs(lack), choice, None, None)
-        if len(taken) and len(left):
-            at = np.searchsorted(size[left], size[taken] + lack)
-            for near in (np.clip(at - 1, 0, len(left) - 1), np.clip(at, 0, len(left) - 1)):
-                miss = np.abs(lack + size[taken] - size[left[near]])
-                k = int(np.argmin(miss))
-                if miss[k] < best[0] - EPS:
-                    best = (float(miss[k]), choice, int(taken[k]), int(left[near[k]]))
-    _, choice, gone, come = best
-    for i, x in [*zip(held, choice, strict=True), *([(gone, 0.0), (come, 1.0)] if gone is not None else [])]:
-        out[i] = x
+    at = np.searchsorted(size[left], size[taken] + lack)
+    near = np.stack([np.clip(at - 1, 0, len(left) - 1), np.clip(at, 0, len(left) - 1)])
+    miss = lack + size[taken] - size[left[near]]
+    good = np.flatnonzero(np.abs(miss).ravel() <= enough)
+    k = int(draws.choice(good)) if len(good) else int(np.argmin(np.abs(miss)))
+    return float(miss.ravel()[k]), int(taken[k % len(taken)]), int(left[near.ravel()[k]])
+
+
+def _land(t: list[float], p: np.ndarray, out: list[float], held: list[int], draws: np.random.Generator) -> None:
+    """Decide the last units by their probabilities, their count kept where two are left; then exchange chosen units for
+    ones left out while the total of sizes is missed by more than the tolerance and an exchange helps."""
+    size = np.array(t)
+    if len(held) == 2:
+        a, b = held
+        up, down = min(1 - out[a], out[b]), min(out[a], 1 - out[b])
+        step = up if draws.random() < down / (up + down) else -down
+        out[a], out[b] = out[a] + step, out[b] - step
+    for x in held:
+        if EPS < out[x] < 1 - EPS:
+            out[x] = float(draws.random() < out[x])
+    now, due, free = np.round(out), float(size @ p), (p > EPS) & (p < 1 - EPS)
+    lack, enough = due - float(size @ now), TOLERANCE * due
+    for _ in range(EXCHANGES):
+        if abs(lack) <= enough:
+            break
+        found = _exchange(size, np.flatnonzero(free & (now > 0.5)), np.flatnonzero(free & (now <= 0.5)), lack, enough, draws)
+        if found is None or abs(found[0]) > abs(lack) - EPS:
+            break
+        lack, now[found[1]], now[found[2]] = found[0], 0.0, 1.0
+    out[:] = now.tolist()
 
 
 def plan(sizes: DataFrame, targets: DataFrame, size: str = "tokens") -> DataFrame:
