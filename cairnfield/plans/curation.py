@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairnfield.functions import text
+from cairnfield.functions.keys import key_form
 from cairnfield.operators import address as A
 from cairnfield.operators import curate, geo, match, stats_dict
 from cairnfield.sources.tables import read
@@ -33,9 +34,74 @@ def _list(words) -> str:
 RULES = A.Rules()
 SUFFIXES = sorted(set(RULES.suffixes.values()))
 
+#: What counts as a street suffix in the SQL, stated apart from the engine's own list.
+SQL_SUFFIXES = (
+    "Alley Anex Arcade Avenue Bayou Beach Bend Bluff Bluffs Bottom Boulevard Branch Bridge Brook Brooks Burg Burgs Bypass Camp Canyon Cape Causeway Center Centers Circle Circles Cliff Cliffs Club Common Commons Corner Corners Course Court "
+    "Courts Cove Coves Creek Crescent Crest Crossing Crossroad Crossroads Curve Dale Dam Divide Drive Drives Estate Estates Expressway Extension Extensions Fall Falls Ferry Field Fields Flat Flats Fm Ford Fords Forest Forge Forges Fork Forks "
+    "Fort Freeway Garden Gardens Gateway Glen Glens Green Greens Grove Groves Harbor Harbors Haven Heights Highway Hill Hills Hollow Inlet Island Islands Isle Junction Junctions Key Keys Knoll Knolls Lake Lakes Land Landing Lane Light Lights "
+    "Loaf Lock Locks Lodge Loop Mall Manor Manors Meadow Meadows Mews Mill Mills Mission Motorway Mount Mountain Mountains Neck Orchard Oval Overpass Park Parks Parkway Parkways Pass Passage Path Pike Pine Pines Place Plain Plains Plaza Point "
+    "Points Port Ports Prairie Radial Ramp Ranch Rapid Rapids Rest Ridge Ridges River Road Roads Route Row Rue Run Shoal Shoals Shore Shores Skyway Spring Springs Spur Spurs Square Squares Station Stravenue Stream Street Streets Summit Terrace "
+    "Throughway Trace Track Trafficway Trail Trailer Tunnel Turnpike Underpass Union Unions Valley Valleys Viaduct View Views Village Villages Ville Vista Walk Walks Wall Way Ways Well Wells"
+).split() + ["County Road", "State Road"]
+SQL_SPANISH = "Avenida Calle Caminito Camino Cerrada Circulo Corte Entrada Paseo Placita Rancho Vereda Vista Norte".split()
+SQL_DIRECTIONS = ["North", "South", "East", "West", "North East", "North West", "South East", "South West"]
+_EVERY, _ROADS, _DIRS = _list(SQL_SUFFIXES + SQL_SPANISH), _list(SQL_SUFFIXES), _list(SQL_DIRECTIONS)
+
+
+def _map(table: dict[str, str]) -> str:
+    return "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in sorted(table.items())) + "}"
+
+
+# row rules in SQL: words of a text, their form, and the three parts that are inferred of a record
+_CLEAN = r"""regexp_replace(regexp_replace(regexp_replace(replace(replace({0}, 'c/o', ' '), 'C/O', ' '), '[.;,#@:/"()-]', ' ', 'g'), '(\d+)', ' \1 ', 'g'), '''s\b', ' ''s', 'g')"""
+_TOKENS = r"regexp_extract_all(" + _CLEAN + r", '''s\b|[&!?$%\[\]{{}}<>]|[^\s&!?$%\[\]{{}}<>'']+(?:''[^\s&!?$%\[\]{{}}<>'']*)*|''')"
+_GRID_AT = r"(?i)^(?:[nsew]\s?)?(?:\d+\s?)?[nsew]\s?\d+"
+
+
+def _written(tokens: str) -> str:
+    word = f"CASE WHEN regexp_matches(w, '{_GRID_AT}') THEN upper(w) ELSE upper(w[1]) || lower(w[2:]) END"
+    return rf"trim(regexp_replace(array_to_string(list_transform(string_split(array_to_string({tokens}, ' '), ' '), lambda w: {word}), ' '), ' (''s\b|[!?%])', '\1', 'g'))"
+
+
+def _stated(tokens: str, known: str) -> str:
+    """What another field states of a sub-location that isn't known yet."""
+    names = _list(A.SUBLOCATIONS.values())
+    ok = lambda at: f"list_contains({names}, {at}) AND NOT list_contains({known}, {at})"
+    return (
+        f"CASE WHEN len({tokens}) = 2 AND {ok(tokens + '[2]')} AND length({tokens}[1]) < 3 THEN [{tokens}[2], {tokens}[1]] ELSE flatten(list_transform(list_filter(range(1, len({tokens})), lambda i: {ok(tokens + '[i]')} "
+        f"AND (length({tokens}[i + 1]) < 3 OR regexp_matches({tokens}[i + 1], '^\\d+$'))), lambda i: CASE WHEN regexp_matches(coalesce({tokens}[i + 2], ''), '^\\d+$') THEN [{tokens}[i], {tokens}[i + 1], {tokens}[i + 2]] ELSE [{tokens}[i], {tokens}[i + 1]] END)) END"
+    )
+
+
+def _inferred_sql(source: str, others: tuple[str, ...]) -> str:
+    """CTEs that end in `inferred`: the columns of `source` (with number and street) beside address, lvl1 and lvl2."""
+    sub, addr, plain = _map(A.SUBLOCATIONS), _map(RULES.suffixes | A.DIRECTIONS), _map(A.SPANISH | A.DIRECTIONS)
+    known = lambda t: f"map_contains({sub}, lower({t}))"
+    swapped = lambda tokens, table: f"list_transform({tokens}, lambda t: coalesce({table}[lower(t)], t))"
+    steps = [
+        f"i0 AS (SELECT *, list_filter({_TOKENS.format('coalesce(street, ' + chr(39) * 2 + ')')}, lambda t: NOT list_contains({_list(A.IGNORED)}, lower(t))) AS t0 FROM ({source}))",
+        f"i1 AS (SELECT *, list_filter(range(1, len(t0) + 1), lambda i: {known('t0[i]')}) AS named FROM i0)",
+        f"i2 AS (SELECT *, coalesce(list_filter(named, lambda i: i < len(t0) AND NOT map_contains({_map(RULES.suffixes)}, lower(t0[i + 1])))[1], len(t0) + 1) AS b FROM i1)",
+        "i3 AS (SELECT *, CASE WHEN named[1] = 1 THEN t0[named[-1] + 2:] ELSE t0[:b - 1] END AS s0, CASE WHEN named[1] = 1 THEN t0[:named[-1] + 1] ELSE t0[b:] END AS below0 FROM i2)",
+        "i4 AS (SELECT *, CASE WHEN number <> '' AND NOT list_contains(s0, number) THEN list_prepend(number, s0) ELSE s0 END AS s1 FROM i3)",
+        f"i5 AS (SELECT *, {_written('s1')} AS w FROM i4)",
+        rf"i6 AS (SELECT *, CASE WHEN list_has_any(s1, ['th', 'nd', 'st', 'rd']) THEN s1 ELSE list_filter(string_split(CASE WHEN regexp_matches(w, '{_GRID_AT}') THEN replace(regexp_extract(w, '{_GRID_AT}'), ' ', '') || ' ' || regexp_replace(w, '{_GRID_AT}\s?', '') ELSE w END, ' '), lambda x: x <> '') END AS s2 FROM i5)",
+        f"i7 AS (SELECT *, {swapped('s2', addr)} AS s3 FROM i6)",
+        f"i8 AS (SELECT *, CASE WHEN list_has_any(s3, {_ROADS}) THEN s3 ELSE {swapped('s3', plain)} END AS s4, {swapped('below0', sub)} AS b0 FROM i7)",
+    ]
+    for k, c in enumerate(others):
+        steps.append(f"o{k} AS (SELECT *, {swapped(_TOKENS.format(f'coalesce({c}, {chr(39) * 2})'), sub)} AS ot{k} FROM {'i8' if k == 0 else f'p{k - 1}'})")
+        steps.append(f"p{k} AS (SELECT *, list_concat(b{k}, {_stated(f'ot{k}', f'b{k}')}) AS b{k + 1} FROM o{k})")
+    last = f"b{len(others)}"
+    cut = f"coalesce(list_filter(range(1, len({last}) + 1), lambda i: list_contains({_list(A.SECOND_LEVEL)}, {last}[i]))[1], len({last}) + 1)"
+    steps.append(f"i9 AS (SELECT *, {cut} AS c FROM {f'p{len(others) - 1}' if others else 'i8'})")
+    steps.append(f"inferred AS (SELECT * EXCLUDE (c), {_written('s4')} AS address, {_written(f'{last}[:c - 1]')} AS lvl1, {_written(f'{last}[c:]')} AS lvl2 FROM i9)")
+    return ", ".join(steps)
+
+
 # the population of addresses: canonical streets and, as typed, those of the raw records
 _POOL = r"""pool AS (SELECT nullif(trim(regexp_replace(a, '\s+', ' ', 'g')), '') AS a FROM (SELECT OPS_STREET AS a FROM ops_location UNION ALL SELECT OPS_STREET FROM soldto_location UNION ALL SELECT STREET FROM dim_location_soldto)),
-f AS (SELECT a AS address, count(*) AS n, list_filter(string_split_regex(a, '\s+'), lambda x: x <> '') AS tokens, array_to_string(list_filter(string_split_regex(a, '\s+'), lambda x: x <> ''), ' ') AS txt FROM pool WHERE a IS NOT NULL GROUP BY a)"""
+f AS (SELECT '' AS scope, a AS address, count(*) AS n, list_filter(string_split_regex(a, '\s+'), lambda x: x <> '') AS tokens, array_to_string(list_filter(string_split_regex(a, '\s+'), lambda x: x <> ''), ' ') AS txt FROM pool WHERE a IS NOT NULL GROUP BY a)"""
 
 
 def _pool(spark: SparkSession, folder: str) -> DataFrame:
@@ -45,100 +111,114 @@ def _pool(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _reduced_sql(keep: str, having: str) -> str:
-    return f"""(WITH r AS (SELECT address, n, txt, array_to_string(list_filter(tokens, lambda x: {keep}), ' ') AS key FROM f),
-  k AS (SELECT * FROM r WHERE key <> '' AND key IN (SELECT txt FROM f)),
-  b AS (SELECT key, arg_max(address, rk) AS address, arg_max(txt, rk) AS txt, count(*) AS size FROM (SELECT *, -row_number() OVER (PARTITION BY key ORDER BY n DESC, address) AS rk FROM k) GROUP BY key)
-  SELECT key, address FROM b WHERE txt <> key {having})"""
+    return f"""(WITH r AS (SELECT scope, address, n, txt, array_to_string(list_filter(tokens, lambda x: {keep}), ' ') AS key FROM f),
+  k AS (SELECT r.* FROM r WHERE key <> '' AND (scope, key) IN (SELECT scope, txt FROM f)),
+  b AS (SELECT scope, key, arg_max(address, rk) AS address, arg_max(txt, rk) AS txt, count(*) AS size FROM (SELECT *, -row_number() OVER (PARTITION BY scope, key ORDER BY n DESC, address) AS rk FROM k) GROUP BY scope, key)
+  SELECT scope, key, address FROM b WHERE txt <> key {having})"""
 
 
-_TOKENS_SQL = _reduced_sql(f"NOT list_contains({_list(SUFFIXES)}, x)", "")
+_TOKENS_SQL = _reduced_sql(f"NOT list_contains({_ROADS}, x)", "")
 _NUMBERS_SQL = _reduced_sql("NOT regexp_matches(x, '^[0-9]+$')", "AND size < 3")
-_ORDER_SQL = """(SELECT txt AS key, best AS address FROM (SELECT address, txt, first_value(address) OVER (PARTITION BY array_to_string(list_sort(tokens), ' ') ORDER BY n DESC, address) AS best FROM f) WHERE address <> best)"""
-_DICT_SQL = f"(SELECT key, arg_min(address, rank) AS address FROM (SELECT *, 2 AS rank FROM {_TOKENS_SQL} UNION ALL SELECT *, 1 FROM {_NUMBERS_SQL} UNION ALL SELECT *, 0 FROM {_ORDER_SQL}) GROUP BY key)"
+_ORDER_SQL = """(SELECT scope, txt AS key, best AS address FROM (SELECT scope, address, txt, first_value(address) OVER (PARTITION BY scope, array_to_string(list_sort(tokens), ' ') ORDER BY n DESC, address) AS best FROM f) WHERE address <> best)"""
+_DICT_SQL = f"(SELECT scope, key, arg_min(address, rank) AS address FROM (SELECT *, 2 AS rank FROM {_TOKENS_SQL} UNION ALL SELECT *, 1 FROM {_NUMBERS_SQL} UNION ALL SELECT *, 0 FROM {_ORDER_SQL}) GROUP BY scope, key)"
+#: CTEs d, w and fixes: what following the rules of `f` leads to, in each scope.
+_FIX_SQL = f"""d AS (SELECT scope, key, array_to_string(list_filter(string_split_regex(address, '\\s+'), lambda x: x <> ''), ' ') AS nxt FROM {_DICT_SQL}),
+w(scope, key, top, seen, looped) AS (SELECT scope, key, nxt, [key], nxt = key FROM d WHERE nxt <> key UNION ALL SELECT w.scope, w.key, d.nxt, list_append(w.seen, w.top), list_contains(w.seen, d.nxt) OR d.nxt = w.top FROM w JOIN d ON w.scope = d.scope AND w.top = d.key WHERE NOT w.looped AND d.nxt <> d.key),
+fixes AS (SELECT scope, key, arg_max(top, len(seen)) AS address FROM w GROUP BY scope, key HAVING NOT bool_or(looped))"""
 
 
 def _freq(spark: SparkSession, folder: str) -> DataFrame:
     return stats_dict.frequencies(_pool(spark, folder), "address")
 
 
-@query(f"WITH {_POOL} SELECT * FROM {_TOKENS_SQL}")
+@query(f"WITH {_POOL} SELECT key, address FROM {_TOKENS_SQL}")
 def missing_token_dict(spark: SparkSession, folder: str) -> DataFrame:
     """Addresses without their suffix, and the usual ones with it."""
     return stats_dict.missing_tokens(_freq(spark, folder), SUFFIXES).drop("scope")
 
 
-@query(f"WITH {_POOL} SELECT * FROM {_NUMBERS_SQL}")
+@query(f"WITH {_POOL} SELECT key, address FROM {_NUMBERS_SQL}")
 def missing_number_dict(spark: SparkSession, folder: str) -> DataFrame:
     """Addresses without their number, and the only ones with it."""
     return stats_dict.missing_numbers(_freq(spark, folder)).drop("scope")
 
 
-@query(f"WITH {_POOL} SELECT * FROM {_ORDER_SQL}")
+@query(f"WITH {_POOL} SELECT key, address FROM {_ORDER_SQL}")
 def order_switch_dict(spark: SparkSession, folder: str) -> DataFrame:
     """Addresses whose words stand in an unusual order, and the usual one."""
     return stats_dict.switched_order(_freq(spark, folder)).drop("scope")
 
 
-@query(f"""WITH RECURSIVE {_POOL}, d AS (SELECT key, address, array_to_string(list_filter(string_split_regex(address, '\\s+'), lambda x: x <> ''), ' ') AS nxt FROM {_DICT_SQL}),
-w(key, top, seen, looped) AS (SELECT key, nxt, [key], nxt = key FROM d WHERE nxt <> key UNION ALL SELECT w.key, d.nxt, list_append(w.seen, w.top), list_contains(w.seen, d.nxt) OR d.nxt = w.top FROM w JOIN d ON w.top = d.key WHERE NOT w.looped AND d.nxt <> d.key)
-SELECT key, arg_max(top, len(seen)) AS address FROM w GROUP BY key HAVING NOT bool_or(looped)""")
+@query(f"WITH RECURSIVE {_POOL}, {_FIX_SQL} SELECT key, address FROM fixes")
 def dict_fixpoint(spark: SparkSession, folder: str) -> DataFrame:
     """What following all repairs of an address leads to."""
     return stats_dict.resolved(stats_dict.dictionary(_freq(spark, folder), SUFFIXES)).drop("scope")
 
 
-_SIGNS = r"[.;,#@:/\"()-]"
-
-
-@query(r"""SELECT DISTINCT ID, array_to_string(list_filter(list_transform(string_split_regex(regexp_replace(regexp_replace(replace(replace(STREET, 'c/o', ' '), 'C/O', ' '), '[.;,#@:/"()-]', ' ', 'g'), '(\d+)', ' \1 ', 'g'), '\s+'), lambda x: coalesce(MAP {'st': 'Street', 'ave': 'Avenue', 'rd': 'Road', 'dr': 'Drive'}[lower(x)], x)), lambda x: x <> '' AND NOT list_contains(['receiving', 'recv', 'rec', 'rcving', 'amp'], lower(x))), ' ') AS text
-FROM dim_location_sales_order WHERE STREET IS NOT NULL""")
+@query(f"SELECT DISTINCT ID, array_to_string(list_transform(list_filter({_TOKENS.format('STREET')}, lambda t: NOT list_contains({_list(A.IGNORED)}, lower(t))), lambda t: coalesce({_map(RULES.suffixes | A.DIRECTIONS)}[lower(t)], t)), ' ') AS text FROM dim_location_sales_order WHERE STREET IS NOT NULL")
 def token_normalise(spark: SparkSession, folder: str) -> DataFrame:
-    """Streets cut into words, some replaced, some left out, by built-in expressions."""
-    c = F.regexp_replace(F.replace(F.replace("STREET", F.lit("c/o"), F.lit(" ")), F.lit("C/O"), F.lit(" ")), _SIGNS, " ")
-    words = F.split(F.regexp_replace(c, r"(\d+)", " $1 "), r"\s+")
-    table = F.create_map(*[F.lit(x) for kv in {"st": "Street", "ave": "Avenue", "rd": "Road", "dr": "Drive"}.items() for x in kv])
-    words = F.filter(F.transform(words, lambda w: F.coalesce(table[F.lower(w)], w)), lambda w: (w != "") & ~F.lower(w).isin(*A.IGNORED))
-    return read(spark, folder, "dim_location_sales_order").where("STREET is not null").select("ID", F.array_join(words, " ").alias("text")).distinct()
+    """Streets cut into words, those that say nothing left out, those of the dictionaries replaced."""
+    return read(spark, folder, "dim_location_sales_order").where("STREET is not null").select("ID", A.normalised(F.col("STREET"), RULES).alias("text")).distinct()
 
 
-_BOX, _ROAD = r"^\s*P\.?\s?O\.?\s?B\s?[0O]?\s?X?\s?(\d+)\s*$", r"^(.*)\sIN?T?E?R?S?T?A?T?E?\s(\d+)"
+_BOXED = r"^\s*p[\s.]*o[\s.]*b[\s.]*(?:[o0][\s.]*)?(?:x[\s.]*)?\d+\s*$"
+_ROAD = r"^(.*)\si(?:n?t?e?r?s?t?a?t?e?)\s(\d+)"
+_SPECIAL = rf"CASE WHEN regexp_matches(r, '(?i){_BOXED}') THEN 'PO Box ' || regexp_extract(r, '(\d+)\s*$', 1) ELSE r END"
+_OF_ROAD = rf"CASE WHEN regexp_matches({{0}}, '(?i){_ROAD}') THEN regexp_extract({{0}}, '(?i){_ROAD}', 1) || ' Interstate ' || regexp_extract({{0}}, '(?i){_ROAD}', 2) ELSE {{0}} END"
 
 
-@query(f"""SELECT DISTINCT ID, CASE WHEN regexp_matches(a, '(?i){_BOX}') THEN 'PO Box ' || regexp_extract(a, '(?i){_BOX}', 1) ELSE a END AS address FROM (
-  SELECT ID, CASE WHEN regexp_matches(STREET, '(?i){_ROAD}') THEN regexp_extract(STREET, '(?i){_ROAD}', 1) || ' Interstate ' || regexp_extract(STREET, '(?i){_ROAD}', 2) ELSE STREET END AS a
-  FROM (SELECT ID, CASE WHEN ID % 7 = 0 THEN '12 I ' || STREET_NUM ELSE STREET END AS STREET FROM dim_location_sales_order))""")
+@query(f"SELECT DISTINCT ID, {_SPECIAL} AS address FROM (SELECT ID, {_OF_ROAD.format('STREET')} AS r FROM dim_location_sales_order)")
 def pobox_interstate(spark: SparkSession, folder: str) -> DataFrame:
     """Post-office boxes and interstates of all streets in one spelling."""
     return read(spark, folder, "dim_location_sales_order").select("ID", A.special(F.col("STREET")).alias("address")).distinct()
 
 
-@query("""WITH a AS (SELECT DISTINCT ID, CASE ID % 5 WHEN 0 THEN 'Hwy 59 & ' || STREET WHEN 1 THEN 'US 191 and AZ 264' WHEN 2 THEN 'I 26 & Hwy 21 St' ELSE STREET END AS street FROM dim_location_sales_order WHERE STREET IS NOT NULL)
-SELECT ID, street, """ + " OR ".join(f"regexp_matches(street, '{p}')" for p in A.INTERSECTIONS) + " AS is_intersection FROM a")
+def _crossing(c: str) -> str:
+    return "(" + " OR ".join(f"regexp_matches({c}, '{p}')" for p in A.INTERSECTIONS) + ")"
+
+
+@query(f"SELECT DISTINCT ID, STREET AS street, {_crossing('STREET')} AS is_intersection FROM dim_location_sales_order WHERE STREET IS NOT NULL")
 def intersection_flag(spark: SparkSession, folder: str) -> DataFrame:
     """Which streets name a crossing."""
     return read(spark, folder, "dim_location_sales_order").where("STREET is not null").select("ID", F.col("STREET").alias("street")).distinct().withColumn("is_intersection", A.is_intersection(F.col("street")))
 
 
-@query("SELECT DISTINCT ID, regexp_replace(regexp_replace(regexp_replace(regexp_replace(s, '(\\d+) Street (Avenue|Road|Street)', '\\1st \\2', 'g'), '(\\d+) Road (Avenue|Road|Street)', '\\1rd \\2', 'g'), '(\\d+) Th (Avenue|Road|Street)', '\\1th \\2', 'g'), '(\\d+) Nd (Avenue|Road|Street)', '\\1nd \\2', 'g') AS street FROM (SELECT ID, (ID % 90) || ' ' || (['Street', 'Road', 'Th', 'Nd'])[ID % 4 + 1] || ' Avenue' AS s FROM dim_location_soldto)")
+def _ordinal_sql(c: str, roads: str) -> str:
+    for word, end in (("Street", "st"), ("Road", "rd"), ("Th", "th"), ("Nd", "nd")):
+        c = rf"regexp_replace({c}, '(\d+) {word} ({roads})', '\1{end} \2', 'g')"
+    return c
+
+
+@query(f"SELECT DISTINCT ID, {_ordinal_sql('STREET', 'Avenue|Road|Street')} AS street FROM dim_location_soldto")
 def ordinal_fix(spark: SparkSession, folder: str) -> DataFrame:
     """Streets with the ordinal ends mended that a dictionary broke."""
     return read(spark, folder, "dim_location_soldto").select("ID", A.ordinals(F.col("STREET"), ["Avenue", "Road", "Street"]).alias("street")).distinct()
 
 
-_SUFFIXED = _list({w.lower() for w in RULES.suffix_values | RULES.direction_values} | set(A.SUFFIXLESS))
+def _valid_sql(c: str, crossings: bool) -> str:
+    words = f"list_filter(string_split_regex({c}, '\\s+'), lambda x: x <> '')"
+    known = _list(w.lower() for w in [*SQL_SUFFIXES, *SQL_SPANISH, *SQL_DIRECTIONS, "broadway", "interstate", "highway", "concourse"])
+    number = rf"coalesce(regexp_matches({words}[1], '(?i)^(\d+|[NSEW]?\d*[NSEW]\d+.*)$'), false)"
+    return f"({c} <> '' AND ((list_has_any(list_transform({words}, lambda x: lower(x)), {known}) AND {number}) OR starts_with({c}, 'PO Box')" + (f" OR {_crossing(c)}" if crossings else "") + "))"
 
 
-@query(f"""SELECT DISTINCT ID, OPS_STREET FROM soldto_location WHERE OPS_STREET <> '' AND ((list_has_any(list_filter(string_split_regex(lower(OPS_STREET), '\\s+'), lambda x: x <> ''), {_SUFFIXED})
-  AND coalesce(regexp_matches(list_filter(string_split_regex(OPS_STREET, '\\s+'), lambda x: x <> '')[1], '(?i)^(\\d+|[NSEW]?\\d*[NSEW]\\d+.*)$'), false)) OR starts_with(OPS_STREET, 'PO Box') OR """ + " OR ".join(f"regexp_matches(OPS_STREET, '{p}')" for p in A.INTERSECTIONS) + ")")
+@query(f"SELECT DISTINCT ID, OPS_STREET FROM soldto_location WHERE {_valid_sql('OPS_STREET', True)}")
 def valid_address_filter(spark: SparkSession, folder: str) -> DataFrame:
     """The addresses that can be right."""
     return read(spark, folder, "soldto_location").where(A.is_valid(F.col("OPS_STREET"), True, RULES)).select("ID", "OPS_STREET").distinct()
 
 
-@query(f"""WITH t AS (SELECT DISTINCT ID, s, list_filter(string_split_regex(s, '\\s+'), lambda x: x <> '') AS k FROM (SELECT ID, CASE WHEN ID % 2 = 0 THEN STREET || ' Main Street garbage' ELSE STREET END AS s FROM dim_location_soldto WHERE STREET IS NOT NULL)),
-p AS (SELECT *, list_max(list_transform(list_filter(range(1, len(k) + 1), lambda i: list_contains({_list(RULES.address.values())}, k[i])), lambda i: i)) AS last FROM t)
-SELECT ID, CASE WHEN len(k) < 2 OR list_has_any(list_transform(k, lambda x: lower(x)), {_list({*A.SPECIFIED, *(w.lower() for w in RULES.spanish.values())})}) OR list_contains({_list(RULES.suffix_values)}, k[-1]) OR list_contains({_list(RULES.direction_values)}, k[2])
-  OR NOT list_has_any(k, {_list(RULES.suffix_values | RULES.direction_values)}) OR last IS NULL THEN s ELSE array_to_string(k[1:last], ' ') END AS street FROM p""")
+def _without_garbage_sql(c: str) -> str:
+    k = f"list_filter(string_split_regex({c}, '\\s+'), lambda x: x <> '')"
+    last = f"list_max(list_filter(range(1, len({k}) + 1), lambda i: list_contains({_list(SQL_SUFFIXES + SQL_DIRECTIONS)}, {k}[i])))"
+    kept = _list(["state", "route", "county", "fm", "highway", "interstate", *(w.lower() for w in SQL_SPANISH)])
+    return (
+        f"CASE WHEN len({k}) < 2 OR list_has_any(list_transform({k}, lambda x: lower(x)), {kept}) OR list_contains({_EVERY}, {k}[-1]) OR list_contains({_DIRS}, {k}[2]) OR NOT list_has_any({k}, {_list(SQL_SUFFIXES + SQL_SPANISH + SQL_DIRECTIONS)}) "
+        f"OR {last} IS NULL THEN {c} ELSE array_to_string({k}[1:{last}], ' ') END"
+    )
+
+
+@query(f"SELECT DISTINCT ID, {_without_garbage_sql('STREET')} AS street FROM dim_location_soldto WHERE STREET IS NOT NULL")
 def garbage_after_suffix(spark: SparkSession, folder: str) -> DataFrame:
     """Streets without what follows their suffix."""
     return read(spark, folder, "dim_location_soldto").where("STREET is not null").select("ID", A.without_garbage(F.col("STREET"), RULES).alias("street")).distinct()
@@ -149,41 +229,77 @@ def _inferred(spark: SparkSession, folder: str) -> DataFrame:
     return rows.withColumn("a", A.infer_columns(F.col("STREET_NUM"), F.col("STREET"), [F.col(c) for c in curate.OTHERS], RULES))
 
 
-@query()
+@query(f"WITH {_inferred_sql(f'SELECT DISTINCT ID, STREET_NUM AS number, STREET AS street, ' + ', '.join(curate.OTHERS) + ' FROM dim_location_sales_order', curate.OTHERS)} SELECT ID, address, lvl1, lvl2 FROM inferred")
 def sublocation_split(spark: SparkSession, folder: str) -> DataFrame:
     """Street and two levels of sub-location of every raw record."""
     return _inferred(spark, folder).select("ID", "a.address", "a.lvl1", "a.lvl2")
 
 
-@query()
+_LETTERS = "'[' || array_to_string(string_split(upper(t), ''), '][') || ']'"
+_MARKED = f"CASE WHEN len(k) = 0 OR map_contains({_map(A.MARKERS)}, upper(k[-1])) THEN NULL ELSE '\\b(' || array_to_string(list_transform(k, lambda t: coalesce({_map(A.MARKERS)}[upper(t)], {_LETTERS})), '[\\s.]?[\\s-]?[\\s:]?[\\s#]?') || ')\\b' END"
+_PIECES = r"regexp_extract_all(coalesce({0}, ''), '[&!?$%\[\]{{}}<>]|[^\s&!?$%\[\]{{}}<>]+')"
+
+
+@query(f"SELECT OPS_SUBLOCATION, {_MARKED} AS marker FROM (SELECT DISTINCT OPS_SUBLOCATION, {_PIECES.format('OPS_SUBLOCATION')} AS k FROM ops_location)")
 def ops_markers(spark: SparkSession, folder: str) -> DataFrame:
     """The pattern that finds each sub-location in raw texts."""
     return read(spark, folder, "ops_location").select("OPS_SUBLOCATION").distinct().withColumn("marker", A.marker(F.col("OPS_SUBLOCATION")))
 
 
 def _precurated(spark: SparkSession, folder: str, table: str = "dim_location_sales_order", by: tuple[str, ...] = ("ORGANIZATION_ID", "STATE")) -> DataFrame:
-    org = read(spark, folder, "organization").select(F.col("ID").alias("ORGANIZATION_ID"), "ORGANIZATION_NAME")
     rows = read(spark, folder, table)
-    if table == "dim_location_soldto":
-        rows = rows.withColumnsRenamed({"REGION": "STATE"}).withColumn("ORGANIZATION_ID", F.lit("ORG00001"))
+    if table == "dim_location_soldto":  # the table states no organisation: that of the location it refers to, if any
+        rows = rows.withColumnsRenamed({"REGION": "STATE"})
+        of = read(spark, folder, "soldto_location").groupBy(key_form(F.col("ID")).alias("_k")).agg(F.min("ORGANIZATION_ID").alias("ORGANIZATION_ID"))
+        rows = rows.withColumn("_k", key_form(F.col("OPS_LOCATION_ID"))).join(of, "_k", "left").drop("_k")
+    org = read(spark, folder, "organization").select(F.col("ID").alias("ORGANIZATION_ID"), "ORGANIZATION_NAME")
     return curate.precurate(rows.distinct().join(org, "ORGANIZATION_ID", "left"), by, RULES, False)
 
 
-@query()
+def _curated_sql(source: str, others: tuple[str, ...], scope: str, crossings: bool) -> str:
+    """CTEs that end in `cur`: the valid rows of `source` (id, number, street, city, state, zip, org, name and others) with
+    their curated street `a`, sub-location and marker."""
+    roads = "|".join(sorted(SQL_SUFFIXES))
+    one = lambda c: f"array_to_string(list_filter(string_split_regex({c}, '\\s+'), lambda x: x <> ''), ' ')"
+    return f"""{_inferred_sql(source, others)}, sp0 AS (SELECT *, {scope} AS scope, {_OF_ROAD.format('address')} AS r FROM inferred), sp AS (SELECT *, {_SPECIAL} AS raw FROM sp0),
+f AS (SELECT scope, raw AS address, count(*) AS n, list_filter(string_split_regex(raw, '\\s+'), lambda x: x <> '') AS tokens, {one('raw')} AS txt FROM sp WHERE raw <> '' GROUP BY scope, raw), {_FIX_SQL},
+fx AS (SELECT sp.*, coalesce(fixes.address, raw) AS fixed FROM sp LEFT JOIN fixes ON fixes.scope = sp.scope AND fixes.key = {one('raw')}),
+cur AS (SELECT *, {_ordinal_sql('g', roads)} AS a, {_PIECES.format('lvl1')} AS k FROM (SELECT *, {_without_garbage_sql('fixed')} AS g FROM fx WHERE {_valid_sql('fixed', crossings)}))"""
+
+
+_TEXT = lambda c, n: f"coalesce({c}, '') AS {n}"
+_SALES_ROWS = f"SELECT DISTINCT s.ID AS id, {_TEXT('STREET_NUM', 'number')}, {_TEXT('STREET', 'street')}, {_TEXT('CITY', 'city')}, {_TEXT('STATE', 'state')}, {_TEXT('ZIP5', 'zip')}, ORGANIZATION_ID AS org, ORGANIZATION_NAME AS name, {', '.join(_TEXT('s.' + c, c) for c in curate.OTHERS)}, s.* EXCLUDE (ID, STREET, STREET_NUM, CITY, STATE, ZIP5, ORGANIZATION_ID, {', '.join(curate.OTHERS)}) FROM dim_location_sales_order s LEFT JOIN organization o ON s.ORGANIZATION_ID = o.ID"
+_SOLDTO_ROWS = f"""SELECT DISTINCT s.ID AS id, '' AS number, {_TEXT('STREET', 'street')}, {_TEXT('CITY', 'city')}, {_TEXT('REGION', 'state')}, {_TEXT('ZIP5', 'zip')}, l.org, ORGANIZATION_NAME AS name, s.OPS_LOCATION_ID, s.LOADED_AT FROM dim_location_soldto s
+  LEFT JOIN (SELECT replace(ID, '-', '') AS k, min(ORGANIZATION_ID) AS org FROM soldto_location GROUP BY 1) l ON l.k = replace(lower(regexp_replace(nullif(trim(s.OPS_LOCATION_ID), ''), '[{{}}\\s]', '', 'g')), '-', '') LEFT JOIN organization o ON l.org = o.ID"""
+_SPACED = lambda *cs: "concat_ws(' ', " + ", ".join(f"nullif({c}, '')" for c in cs) + ")"
+_HASHED = lambda *cs: "sha256(" + " || ' ' || ".join(f"coalesce({c}, '')" for c in cs) + ")"
+
+
+@query(f"""WITH RECURSIVE {_curated_sql(_SALES_ROWS, curate.OTHERS, "coalesce(org, chr(2)) || chr(1) || state", True)},
+g AS (SELECT a, city, state, zip, lvl1, org, name, min({_MARKED}) AS marker, count(DISTINCT id) AS n FROM cur GROUP BY ALL),
+n AS (SELECT *, trim(concat_ws(' ', org, '@', a, lvl1)) AS loc FROM g),
+m AS (SELECT *, CASE WHEN marker IS NOT NULL AND count(CASE WHEN marker IS NULL THEN 1 END) OVER w = 1 THEN max(CASE WHEN marker IS NULL THEN loc END) OVER w END AS main FROM n WINDOW w AS (PARTITION BY a, city, state, zip, org, name))
+SELECT {_HASHED('name', 'a', 'city', 'state', 'zip', 'lvl1')} AS ID, loc AS OPS_LOC_NAME, main AS MAIN_LOC_NAME, a AS OPS_STREET, lvl1 AS OPS_SUBLOCATION, city AS OPS_CITY, state AS OPS_STATE, zip AS OPS_ZIP5, marker AS OPS_MARKER, marker IS NULL AS IS_ADDRESS, marker IS NOT NULL AS IS_BUILDING, CAST(n AS INTEGER) AS n_records FROM m""")
 def curated_sales_orders(spark: SparkSession, folder: str) -> DataFrame:
     """Canonical locations of the sales-order records, their repairs learnt within each organisation and state."""
     out = curate.sales_locations(_precurated(spark, folder), "ID", None, RULES)
     return out.select("ID", "OPS_LOC_NAME", "MAIN_LOC_NAME", "OPS_STREET", "OPS_SUBLOCATION", "OPS_CITY", "OPS_STATE", "OPS_ZIP5", "OPS_MARKER", "IS_ADDRESS", "IS_BUILDING", F.size("DIM_LOCATION_ID").alias("n_records"))
 
 
-@query()
+_TITLE = lambda c: f"array_to_string(list_transform(regexp_extract_all({c}, '[\\p{{L}}]+|[^\\p{{L}}]+'), lambda x: upper(x[1]) || lower(x[2:])), '')"
+_SOLDTO_SQL = f"""WITH RECURSIVE {_curated_sql(_SOLDTO_ROWS, (), "state", False)},
+g AS (SELECT a, {_TITLE('city')} AS city, state, zip, org, name, list(DISTINCT id) AS ids FROM cur GROUP BY a, {_TITLE('city')}, state, zip, org, name)"""
+_SOLDTO_ID = _HASHED("name", "a", "city", "state", "zip")
+
+
+@query(f"{_SOLDTO_SQL} SELECT {_SOLDTO_ID} AS ID, trim({_SPACED('org', chr(39) + '@' + chr(39), 'a', 'city', 'state', 'zip')}) AS OPS_LOC_NAME, a AS OPS_STREET, city AS OPS_CITY, state AS OPS_STATE, zip AS OPS_ZIP5, CAST(len(ids) AS INTEGER) AS n_records FROM g")
 def curated_soldto(spark: SparkSession, folder: str) -> DataFrame:
     """Canonical locations of the sold-to records."""
     out = curate.soldto_locations(_precurated(spark, folder, "dim_location_soldto", ("STATE",)), "ID", None, RULES)
     return out.select("ID", "OPS_LOC_NAME", "OPS_STREET", "OPS_CITY", "OPS_STATE", "OPS_ZIP5", F.size("DIM_LOCATION_ID").alias("n_records"))
 
 
-@query()
+@query(f"{_SOLDTO_SQL} SELECT {_SOLDTO_ID} AS OPS_LOCATION_ID, unnest(ids) AS DIM_LOCATION_ID, 1.0::DOUBLE AS OPS_MATCH_SCORE FROM g")
 def curated_associations(spark: SparkSession, folder: str) -> DataFrame:
     """Every sold-to record and the location that stands for it."""
     return curate.associations(curate.soldto_locations(_precurated(spark, folder, "dim_location_soldto", ("STATE",)), "ID", None, RULES))
@@ -304,13 +420,13 @@ def text_features(spark: SparkSession, folder: str) -> DataFrame:
     return read(spark, folder, "documents").select("doc_id", *kinds.values())
 
 
-@query()
+@query(f"SELECT ID, {_TITLE('CITY')} AS city FROM dim_location_soldto")
 def title_cities(spark: SparkSession, folder: str) -> DataFrame:
     """Raw cities in title case."""
     return read(spark, folder, "dim_location_soldto").select("ID", text.title_case(F.col("CITY")).alias("city"))
 
 
-@query("SELECT ID, -(ID % 90) + 0.5 AS lat, (ID % 180) + 0.25 AS lon FROM dim_location_dnb".replace("-(ID % 90) + 0.5 AS lat", "CAST(ID % 90 + 0.5 AS DOUBLE) AS lat").replace("(ID % 180) + 0.25 AS lon", "CAST(-(ID % 180) - 0.25 AS DOUBLE) AS lon"))
+@query("SELECT ID, coalesce(LATITUDE, 0.0) AS lat, coalesce(LONGITUDE, 0.0) AS lon FROM ops_location")
 def parsed_coordinates(spark: SparkSession, folder: str) -> DataFrame:
     """Coordinates read from a text of longitude and latitude, as every location has them."""
     shown = F.concat(F.lit("("), F.col("LONGITUDE").cast("string"), F.lit(", "), F.col("LATITUDE").cast("string"), F.lit(")"))
