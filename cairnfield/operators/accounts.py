@@ -42,14 +42,20 @@ def slash_halves(c: Column) -> tuple[Column, Column]:
     return F.when(has, F.split_part(c, F.lit("/"), F.lit(1))).otherwise(c), F.when(has, F.split_part(c, F.lit("/"), F.lit(2)))
 
 
+def draw(*parts: Column | int | str) -> Column:
+    """A number of 60 bits that the parts' texts decide, the same in any engine that has md5."""
+    text = F.concat_ws("|", *[F.lit(str(p)) if isinstance(p, int) else F.col(p).cast("string") if isinstance(p, str) else p for p in parts])
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
+
+
 def sample_bins(df: DataFrame, value: str, name: str, bins: int, per_bin: int, seed: int, id_col: str) -> DataFrame:
     """`per_bin` rows, drawn with replacement, of every bin of value and slash in the name; column `draw` numbers them."""
     low_high = df.agg(F.min(value).alias("_low"), F.max(value).alias("_high"))
     rows = df.crossJoin(F.broadcast(low_high)).withColumn("bin", equal_width_bin(F.col(value), F.col("_low"), F.col("_high"), bins)).withColumn("slash", F.contains(F.col(name), F.lit("/"))).drop("_low", "_high")
     groups = ["bin", "slash"]
-    numbered = rows.withColumn("_i", F.row_number().over(Window.partitionBy(*groups).orderBy(F.xxhash64(F.lit(seed), id_col), id_col)))
+    numbered = rows.withColumn("_i", F.row_number().over(Window.partitionBy(*groups).orderBy(draw(seed, id_col), id_col)))
     drawn = rows.groupBy(*groups).agg(F.count("*").alias("_n")).withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(per_bin))))
-    drawn = drawn.withColumn("_i", (F.pmod(F.xxhash64(F.lit(seed), "bin", "slash", "draw"), F.col("_n")) + 1).cast("int"))
+    drawn = drawn.withColumn("_i", (F.pmod(draw(seed, "bin", "slash", "draw"), F.col("_n")) + 1).cast("int"))
     return numbered.join(drawn.drop("_n"), [*groups, "_i"]).drop("_i")
 
 

@@ -21,14 +21,20 @@ OTHERS = ("DEPARTMENT", "ATTENTION", "SUPPLEMENTAL", "RECEIVER")
 GEO = {"LATITUDE": "double", "LONGITUDE": "double", "GEOCODE_LEVEL": "string", "GEOCODE_ACCURACY": "double"}
 
 
-def counts(df: DataFrame) -> DataFrame:
-    """The rows with how often their address, its place, its sub-location and its raw form occur."""
-    over = lambda *keys: F.count("STREET").over(Window.partitionBy(*keys))
-    return df.withColumns(
-        {
-            "ADDRESS_cnt": over("ADDRESS"), "ADDRESS_CITY_ZIP5_cnt": over("ADDRESS", "CITY", "ZIP5"), "SUBLOCATION_LVL1_cnt": over("ADDRESS", "SUBLOCATION_LVL1"), "ADDRESS_RAW_cnt": over("STREET", "CITY", "STATE", "ZIP5"),
-        }
-    )
+#: The counts of a row and the columns that they are counted over.
+COUNTS = {"ADDRESS_cnt": ("ADDRESS",), "ADDRESS_CITY_ZIP5_cnt": ("ADDRESS", "CITY", "ZIP5"), "SUBLOCATION_LVL1_cnt": ("ADDRESS", "SUBLOCATION_LVL1"), "ADDRESS_RAW_cnt": ("STREET", "CITY", "STATE", "ZIP5")}
+
+
+def counts(df: DataFrame, of: dict[str, Sequence[str]] | None = None, counted: str = "STREET") -> DataFrame:
+    """The rows with how often their address, its place, its sub-location and its raw form occur, rows without `counted` not
+    being counted. Each count is aggregated and joined back; rows whose key's first column is null count 0 and join nothing."""
+    for name, (lead, *more) in (of or COUNTS).items():
+        there = df.where(F.col(lead).isNotNull())
+        sums = there.groupBy(F.col(lead), *[F.col(k).alias(f"_{k}") for k in more]).agg(F.count(counted).alias(name)).withColumnRenamed(lead, f"_{lead}")
+        match = [F.col(lead) == F.col(f"_{lead}"), *[F.col(k).eqNullSafe(F.col(f"_{k}")) for k in more]]
+        counted_rows = there.join(sums, match).drop(f"_{lead}", *[f"_{k}" for k in more])
+        df = counted_rows.unionByName(df.where(F.col(lead).isNull()).withColumn(name, F.lit(0).cast("long")))
+    return df
 
 
 def precurate(df: DataFrame, by: Sequence[str] = (), rules: A.Rules | None = None, with_counts: bool = True) -> DataFrame:

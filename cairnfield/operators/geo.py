@@ -1,8 +1,9 @@
 """Geography: geocodes from a cache and a provider, residential flags, distances and single-linkage clusters.
 
-Clusters are the connected components of the pairs within the radius: points fall into grid cells no smaller than the
-radius, so only neighbouring cells are joined, and the points of one cell that lie within half the radius of its corner
-grid are linked through one of them instead of with each other, so a dense cell costs no quadratic join.
+Clusters are the connected components of the pairs within the radius. Distinct coordinates of a group are taken first; they
+fall into grid cells so small that any two points of a cell are within the radius, so a cell's points are linked through
+one of them. Two neighbouring cells need but one pair within the radius to be linked, so every point is first held against one point of
+each neighbouring cell; only cells that this leaves apart compare all their points.
 
 Cases: rows without coordinates stay out of clusters; the date line is crossed; a pair at exactly the radius is not
 within it. Cache rows without a formatted address are misses; of several hits the most accurate counts, the first by
@@ -33,32 +34,67 @@ def haversine(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     return F.lit(2 * EARTH_M) * F.asin(F.sqrt(F.least(h, F.lit(1.0))))
 
 
-def clusters(df: DataFrame, id_col: str, group: str, lat: str = "LATITUDE", lon: str = "LONGITUDE", radius: float = RADIUS_M) -> DataFrame:
-    """(id, cluster) of the distinct points that have another of their group within the radius; `cluster` is the smallest id."""
-    points = df.where(f"{lat} between -90 and 90 and {lon} between -180 and 180 and {group} is not null").select(F.col(id_col).alias("id"), F.col(group).alias("g"), F.col(lat).alias("lat"), F.col(lon).alias("lon")).distinct()
-    fine = radius / EARTH_M / 1.5 * 180 / math.pi  # any two points of a fine cell are within the radius: its diagonal is 0.95 of it
-    row = F.floor(F.col("lat") / fine).cast("long")
-    # as wide at every latitude as at the row's edge nearest the equator, a whole number of columns round the earth
+def _around(row: Column, fine: float) -> Column:
+    """How many cells a row of cells has round the earth: as wide at every latitude as at its edge nearest the equator."""
     edge = F.least(F.abs(row * F.lit(fine)), F.abs((row + 1) * F.lit(fine)))
-    around = F.greatest(F.lit(1), F.ceil(F.lit(360 / fine) * F.cos(F.radians(F.least(edge, F.lit(90.0)))))).cast("long")
-    points = cut(points.withColumns({"row": row, "around": around}).withColumn("col", F.pmod(F.floor((F.col("lon") + 180) / 360 * F.col("around")).cast("long"), F.col("around"))))
-    cell = ["g", "row", "col"]
-    heads = points.groupBy(*cell).agg(F.min("id").alias("head"))
-    inner = points.join(heads, cell).where("id <> head").select(F.col("id").alias("a"), F.col("head").alias("b"))
-    # neighbours of other cells: two rows up and down, and in each the columns that the radius can reach
-    reach = F.explode(F.sequence(F.lit(-2), F.lit(2))).alias("dr")
-    near = points.select("id", "g", "lat", "lon", F.col("row").alias("r0"), F.col("col").alias("c0"), reach).withColumn("row", F.col("r0") + F.col("dr"))
-    edge2 = F.least(F.abs(F.col("row") * F.lit(fine)), F.abs((F.col("row") + 1) * F.lit(fine)))
-    round2 = F.greatest(F.lit(1), F.ceil(F.lit(360 / fine) * F.cos(F.radians(F.least(edge2, F.lit(90.0)))))).cast("long")
-    near = near.withColumn("around", round2)
-    width = F.ceil(F.lit(1.5) * F.lit(1.0) / F.greatest(F.lit(1e-6), F.cos(F.radians(F.least(F.abs(F.col("lat")) + 0.01, F.lit(89.9999))))) * F.col("around") * F.lit(fine / 360)) + 1
+    return F.greatest(F.lit(1), F.ceil(F.lit(360 / fine) * F.cos(F.radians(F.least(edge, F.lit(90.0)))))).cast("long")
+
+
+def _places(df: DataFrame, id_col: str, group: str, lat: str, lon: str, radius: float) -> tuple[DataFrame, DataFrame]:
+    """The distinct (id, g, lat, lon), and the distinct places (g, lat, lon, place, n, row, col) with their cells; `place` is
+    the smallest id there, n how many ids."""
+    points = df.where(f"{lat} between -90 and 90 and {lon} between -180 and 180 and {group} is not null").select(F.col(id_col).alias("id"), F.col(group).alias("g"), F.col(lat).alias("lat"), F.col(lon).alias("lon")).distinct()
+    fine = radius / EARTH_M / 1.5 * 180 / math.pi  # any two points of a cell are within the radius: its diagonal is 0.95 of it
+    places = points.groupBy("g", "lat", "lon").agg(F.min("id").alias("place"), F.count("*").alias("n")).withColumn("row", F.floor(F.col("lat") / fine).cast("long"))
+    around = _around(F.col("row"), fine)
+    return points, cut(places.withColumn("col", F.pmod(F.floor((F.col("lon") + 180) / 360 * around).cast("long"), around)))
+
+
+def _next_cells(places: DataFrame, radius: float) -> DataFrame:
+    """The places with every other cell (row, col) that the radius can reach from them: two rows up and down."""
+    fine = radius / EARTH_M / 1.5 * 180 / math.pi
+    near = places.select("place", "g", "lat", "lon", "n", F.col("row").alias("r0"), F.col("col").alias("c0"), F.explode(F.sequence(F.lit(-2), F.lit(2))).alias("dr")).withColumn("row", F.col("r0") + F.col("dr"))
+    near = near.withColumn("around", _around(F.col("row"), fine))
+    width = F.ceil(F.lit(1.5) / F.greatest(F.lit(1e-6), F.cos(F.radians(F.least(F.abs(F.col("lat")) + 0.01, F.lit(89.9999))))) * F.col("around") * F.lit(fine / 360)) + 1
     span = F.least(width.cast("long"), F.col("around") / 2 + 1).cast("long")
     centre = F.floor((F.col("lon") + 180) / 360 * F.col("around")).cast("long")
-    near = near.withColumn("col", F.explode(F.sequence(centre - span, centre + span))).withColumn("col", F.pmod("col", F.col("around"))).select("id", "g", "lat", "lon", "r0", "c0", "row", "col").distinct()
-    other = points.select("g", "row", "col", F.col("id").alias("id2"), F.col("lat").alias("lat2"), F.col("lon").alias("lon2"))
-    met = near.join(other, cell).where((F.col("id") < F.col("id2")) & ~((F.col("row") == F.col("r0")) & (F.col("col") == F.col("c0"))))
-    outer = met.where(haversine(F.col("lat"), F.col("lon"), F.col("lat2"), F.col("lon2")) < radius).select(F.col("id").alias("a"), F.col("id2").alias("b"))
-    return components(inner.unionByName(outer)).select(F.col("vertex").alias("id"), F.col("component").alias("cluster"))
+    near = near.withColumn("col", F.explode(F.sequence(centre - span, centre + span))).withColumn("col", F.pmod("col", F.col("around")))
+    return near.where("not (row = r0 and col = c0)").select("place", "g", "lat", "lon", "n", "r0", "c0", "row", "col").distinct()
+
+
+def _within(radius: float) -> Column:
+    return haversine(F.col("lat"), F.col("lon"), F.col("lat2"), F.col("lon2")) < radius
+
+
+def neighbour_counts(df: DataFrame, id_col: str, group: str, lat: str = "LATITUDE", lon: str = "LONGITUDE", radius: float = RADIUS_M) -> DataFrame:
+    """(id, n): how many other points of its group lie within the radius of each, points without any left out. Distinct places
+    are compared, those of one cell and of neighbouring cells."""
+    points, places = _places(df, id_col, group, lat, lon, radius)
+    other = places.select("g", "row", "col", F.col("place").alias("p2"), F.col("lat").alias("lat2"), F.col("lon").alias("lon2"), F.col("n").alias("n2"))
+    outer = _next_cells(places, radius).join(other, ["g", "row", "col"]).where(_within(radius)).select("place", "lat", "lon", "g", "n2")
+    # a cell's places are all within the radius of each other
+    inner = places.join(places.groupBy("g", "row", "col").agg(F.sum("n").alias("n2")), ["g", "row", "col"]).select("place", "lat", "lon", "g", (F.col("n2") - 1).alias("n2"))
+    found = inner.unionByName(outer).groupBy("g", "lat", "lon").agg(F.sum("n2").alias("k")).where("k > 0")
+    return points.join(found, ["g", "lat", "lon"]).groupBy("id").agg(F.sum("k").alias("n"))
+
+
+def clusters(df: DataFrame, id_col: str, group: str, lat: str = "LATITUDE", lon: str = "LONGITUDE", radius: float = RADIUS_M) -> DataFrame:
+    """(id, cluster) of the distinct points that have another of their group within the radius; `cluster` is the smallest id."""
+    points, places = _places(df, id_col, group, lat, lon, radius)
+    cell = ["g", "row", "col"]
+    heads = cut(places.groupBy(*cell).agg(F.min_by(F.struct("place", "lat", "lon"), "place").alias("h")).select(*cell, F.col("h.place").alias("head"), F.col("h.lat").alias("lat2"), F.col("h.lon").alias("lon2")))
+    same = points.join(places.select("g", "lat", "lon", "place"), ["g", "lat", "lon"]).where("id <> place").select(F.col("id").alias("a"), F.col("place").alias("b"))
+    inner = places.join(heads.select(*cell, "head"), cell).where("place <> head").select(F.col("place").alias("a"), F.col("head").alias("b"))
+    near = cut(_next_cells(places, radius).drop("n"))
+    sides = ["g", "r0", "c0", "row", "col"]
+    by_head = cut(near.join(heads, cell).where(_within(radius)).groupBy(*sides).agg(F.min("place").alias("a"), F.min("head").alias("b")))
+    # pairs of cells that no head links: either side may have found it
+    both = by_head.select(*sides).unionByName(by_head.select("g", F.col("row").alias("r0"), F.col("col").alias("c0"), F.col("r0").alias("row"), F.col("c0").alias("col"))).distinct()
+    apart = near.join(both, sides, "left_anti")
+    other = places.select(*cell, F.col("place").alias("p2"), F.col("lat").alias("lat2"), F.col("lon").alias("lon2"))
+    outer = apart.join(other, cell).where((F.col("place") < F.col("p2")) & _within(radius)).select(F.col("place").alias("a"), F.col("p2").alias("b"))
+    edges = same.unionByName(inner).unionByName(by_head.select("a", "b")).unionByName(outer)
+    return components(edges).select(F.col("vertex").alias("id"), F.col("component").alias("cluster"))
 
 
 def mode_of(c: str) -> Column:
@@ -71,7 +107,7 @@ def sites(df: DataFrame, id_col: str = "ID", group: str = "ORGANIZATION_ID") ->
     live = df.where(F.col("IS_RESIDENTIAL") == F.lit(False)) if "IS_RESIDENTIAL" in df.columns else df
     member = live.join(clusters(live, id_col, group).withColumnRenamed("id", id_col), id_col)
     common = ["OPS_CITY", "OPS_STREET", "OPS_STATE", "OPS_ZIP5", "ORGANIZATION_NAME"]
-    out = member.groupBy(F.col(group), "cluster").agg(*[mode_of(c).alias(c) for c in common], F.avg("LATITUDE").alias("LATITUDE"), F.avg("LONGITUDE").alias("LONGITUDE"), F.array_sort(F.collect_set(id_col)).alias("children"))
+    out = member.groupBy(F.col(group), "cluster").agg(*[mode_of(c).alias(c) for c in common], *[(F.sum(F.col(c).cast("decimal(18,9)")).cast("double") / F.count(c)).alias(c) for c in ("LATITUDE", "LONGITUDE")], F.array_sort(F.collect_set(id_col)).alias("children"))
     main = F.concat_ws(" ", "ORGANIZATION_NAME", "OPS_STATE", F.concat(F.lit("P"), F.left(F.sha1("cluster"), F.lit(8))))
     return out.withColumns(
         {

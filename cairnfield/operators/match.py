@@ -1,19 +1,23 @@
 """Association by text: TF-IDF similarity within blocks, sub-location markers, and neighbours' votes.
 
-Both sides are long tables of (row, token, weight); rows that share a token within a block meet by an equi-join on both,
-and the products are summed. Rare tokens bring few rows together; where one is in every row of a large block its weight
-is near nothing, yet it is kept, as dropping it would change scores.
+Rows are unit vectors of (token, weight). The nearest rows are found without meeting through common tokens: a first search
+by each row's few heaviest tokens gives a score that its k-th nearest row has at least; any row that scores as high shares
+one of the tokens before the rest of the vector is shorter than that score, so a second search by just these tokens is
+exact. Candidates are scored once each, vector against vector.
 
-Cases: rows without tokens or whose block is null match nothing. Ties go to the smallest id. Empty tables give no rows.
+Cases: rows without tokens or whose block is null match nothing. Scores are compared to nine digits; ties go to the smallest
+id. Empty tables give no rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cairnfield.session import cut
+
 #: The lowest similarity that counts, unless stated otherwise.
 THRESHOLD = 0.1
 
@@ -53,26 +57,62 @@ def idf(df: DataFrame, id_col: str, tokens: Column, min_df: int = 1, max_df: flo
     return both.select("token", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
 
 
-def scores(left: DataFrame, right: DataFrame, block: Sequence[str] = ()) -> DataFrame:
-    """(block, left_id, right_id, score) of the rows that share a token within a block."""
-    r = right.select(*block, F.col("id").alias("right_id"), "token", F.col("weight").alias("_w"))
-    return left.withColumnRenamed("id", "left_id").join(r, [*block, "token"]).groupBy(*block, "left_id", "right_id").agg(F.sum(F.col("weight") * F.col("_w")).alias("score"))
+#: Tokens of a row that the first search uses.
+FIRST = 4
+DIGITS = 9
+
+
+def vectors(weights: DataFrame, block: Sequence[str] = ()) -> DataFrame:
+    """(block, id, v): the tokens of every row with their weights, the heaviest first."""
+    entry = F.struct((-F.col("weight")).alias("w"), "token")
+    return weights.groupBy(*block, "id").agg(F.array_sort(F.collect_list(entry)).alias("v"))
+
+
+def _product(a: str, b: str) -> Column:
+    """The product of two vectors."""
+    of = F.map_from_entries(F.transform(b, lambda x: F.struct(x["token"], x["w"])))
+    return F.aggregate(F.col(a), F.lit(0.0), lambda s, x: s + x["w"] * F.coalesce(F.try_element_at(of, x["token"]), F.lit(0.0)))
+
+
+def _scored(pairs: DataFrame, left: DataFrame, right: DataFrame, block: Sequence[str]) -> DataFrame:
+    sides = pairs.join(left.select(*block, F.col("id").alias("left_id"), F.col("v").alias("vl")), [*block, "left_id"]).join(right.select(*block, F.col("id").alias("right_id"), F.col("v").alias("vr")), [*block, "right_id"])
+    return sides.select(*block, "left_id", "right_id", F.round(_product("vl", "vr"), DIGITS).alias("score"))
+
+
+def nearest(left: DataFrame, right: DataFrame, block: Sequence[str] = (), k: int = 1, threshold: float = 0.0, itself: bool = True) -> DataFrame:
+    """(block, left_id, right_id, score): the k most alike rows of `right` for every row of `left` within its block, of those
+    that share a token and score the threshold at least; rows of the same id count or not."""
+    left, right = cut(vectors(left.dropna(subset=list(block)), block)), cut(vectors(right.dropna(subset=list(block)), block))
+    index = right.select(*block, F.col("id").alias("right_id"), F.explode("v.token").alias("token"))
+    other = F.lit(True) if itself else F.col("left_id") != F.col("right_id")
+    top = lambda rows: rows.groupBy(*block, "left_id").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "right_id"))), 1, k).alias("t"))
 
+    def search(rows: DataFrame) -> DataFrame:
+        probes = rows.select(*block, F.col("id").alias("left_id"), F.explode("p.token").alias("token"))
+        return probes.join(index, [*block, "token"]).where(other).select(*block, "left_id", "right_id").distinct()
 
-def best(scored: DataFrame, key: str = "left_id", other: str = "right_id", threshold: float = 0.0) -> DataFrame:
-    """(key, other, score): the best partner of every row."""
-    top = scored.where(F.col("score") >= threshold).groupBy(key).agg(F.min(F.struct((-F.col("score")).alias("s"), F.col(other).alias("o"))).alias("b"))
-    return top.select(key, F.col("b.o").alias(other), (-F.col("b.s")).alias("score"))
+    first = cut(_scored(search(left.withColumn("p", F.slice("v", 1, FIRST))), left, right, block).where(F.col("score") > 0))
+    # the k-th best score so far, 0 where there are fewer
+    least = top(first).select(*block, F.col("left_id").alias("id"), F.when(F.size("t") == k, -F.element_at("t", -1)["s"]).otherwise(0.0).alias("least"))
+    bound = F.greatest(F.coalesce("least", F.lit(0.0)), F.lit(threshold)) - 10.0**-DIGITS
+    rest = lambda i: F.sqrt(F.aggregate(F.slice("v", i + 1, F.size("v")), F.lit(0.0), lambda s, x: s + x["w"] * x["w"]))
+    needed = F.transform(F.filter(F.transform("v", lambda x, i: F.struct(x["token"].alias("token"), (rest(i) >= F.col("bound")).alias("use"))), lambda x: x["use"]), lambda x: F.struct(x["token"].alias("token")))
+    full = left.join(least, [*block, "id"], "left").withColumn("bound", bound).withColumn("p", needed)
+    more = search(full.withColumn("p", F.slice("p", FIRST + 1, F.greatest(F.size("p"), F.lit(1))))).join(first.select(*block, "left_id", "right_id"), [*block, "left_id", "right_id"], "left_anti")
+    found = first.unionByName(_scored(more, left, right, block)).where((F.col("score") > 0) & (F.col("score") >= threshold))
+    return top(found).select(*block, "left_id", F.explode("t").alias("t")).select(*block, "left_id", F.col("t.right_id").alias("right_id"), (-F.col("t.s")).alias("score"))
 
 
 def rank(dim: DataFrame, ops: DataFrame, dim_text: Column, ops_text: Column, block: Sequence[str] = (), dim_id: str = "ID", ops_id: str = "ID", per_ops: bool = False, grams: int = 3, threshold: float = 0.0) -> DataFrame:
-    """The best canonical row of every raw row of its block (or the best raw row of every canonical one), with the score
-    of their character grams; weights by the raw side."""
-    vocabulary = idf(dim, dim_id, char_grams(dim_text, grams))
+    """(left_id, right_id, score): the best canonical row of every raw row of its block (or the best raw row of every
+    canonical one) by their character grams; weights by the raw side. A row of several blocks takes the best of them."""
+    vocabulary = cut(idf(dim, dim_id, char_grams(dim_text, grams)))
     left = tfidf(dim, dim_id, char_grams(dim_text, grams), block, vocabulary)
     right = tfidf(ops, ops_id, char_grams(ops_text, grams), block, vocabulary)
-    scored = scores(left, right, block)
-    return best(scored, "right_id", "left_id", threshold) if per_ops else best(scored, "left_id", "right_id", threshold)
+    found = nearest(right, left, block, 1, threshold) if per_ops else nearest(left, right, block, 1, threshold)
+    best = found.groupBy("left_id").agg(F.min(F.struct((-F.col("score")).alias("s"), "right_id")).alias("b"))
+    key, other = ("right_id", "left_id") if per_ops else ("left_id", "right_id")
+    return best.select(F.col("left_id").alias(key), F.col("b.right_id").alias(other), (-F.col("b.s")).alias("score"))
 
 
 def training_pairs(ranked: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -83,13 +123,9 @@ def training_pairs(ranked: DataFrame, threshold: float = THRESHOLD) -> DataFrame
 def neighbour_votes(labelled: DataFrame, weights: DataFrame, k: int = 5, itself: bool = True) -> DataFrame:
     """(id, label, votes): for every row of `weights` the label with the highest summed score among its k nearest labelled
     rows (id, label), `itself` included or not."""
-    known = weights.join(labelled, "id")
-    scored = scores(weights, known.select("id", "token", "weight"))
-    if not itself:
-        scored = scored.where("left_id <> right_id")
-    near = scored.withColumn("_r", F.row_number().over(Window.partitionBy("left_id").orderBy(F.desc("score"), "right_id"))).where(F.col("_r") <= k)
+    near = nearest(weights, weights.join(labelled.select("id").distinct(), "id"), (), k, 0.0, itself)
     votes = near.join(labelled.select(F.col("id").alias("right_id"), "label"), "right_id").groupBy("left_id", "label").agg(F.sum("score").alias("votes"))
-    top = votes.groupBy("left_id").agg(F.min(F.struct((-F.col("votes")).alias("v"), "label")).alias("b"))
+    top = votes.groupBy("left_id").agg(F.min(F.struct((-F.round("votes", DIGITS)).alias("v"), "label")).alias("b"))
     return top.select(F.col("left_id").alias("id"), F.col("b.label").alias("label"), (-F.col("b.v")).alias("votes"))
 
 

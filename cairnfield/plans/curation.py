@@ -311,12 +311,7 @@ SELECT a AS id, count(*) AS n FROM e GROUP BY a""")
 def neighbours_within(spark: SparkSession, folder: str) -> DataFrame:
     """How many other locations of its organisation lie within a hundred metres of each."""
     p = read(spark, folder, "ops_location").where("LATITUDE between -90 and 90 and LONGITUDE between -180 and 180 and ORGANIZATION_ID is not null").select("ID", "ORGANIZATION_ID", "LATITUDE", "LONGITUDE").distinct()
-    # cells of a hundredth of a degree of latitude; the longitude is compared in full, as its degrees shrink polewards
-    cell = F.floor(F.col("LATITUDE") * 100).cast("long")
-    a = p.select(F.col("ID").alias("id"), F.col("ORGANIZATION_ID").alias("g"), F.col("LATITUDE").alias("la"), F.col("LONGITUDE").alias("lo"), F.explode(F.sequence(cell - 1, cell + 1)).alias("cell"))
-    b = p.select(F.col("ID").alias("id2"), F.col("ORGANIZATION_ID").alias("g"), F.col("LATITUDE").alias("la2"), F.col("LONGITUDE").alias("lo2"), cell.alias("cell"))
-    near = a.join(b, ["g", "cell"]).where((F.col("id") != F.col("id2")) & (geo.haversine(F.col("la"), F.col("lo"), F.col("la2"), F.col("lo2")) < geo.RADIUS_M))
-    return near.groupBy("id").agg(F.count("*").alias("n"))
+    return geo.neighbour_counts(p, "ID", "ORGANIZATION_ID")
 
 
 @query("""WITH RECURSIVE p AS (SELECT DISTINCT ID, ORGANIZATION_ID AS g, LATITUDE AS la, LONGITUDE AS lo FROM ops_location WHERE LATITUDE BETWEEN -90 AND 90 AND LONGITUDE BETWEEN -180 AND 180 AND ORGANIZATION_ID IS NOT NULL),
@@ -328,11 +323,19 @@ def location_clusters(spark: SparkSession, folder: str) -> DataFrame:
     return geo.clusters(read(spark, folder, "ops_location"), "ID", "ORGANIZATION_ID")
 
 
-@query()
+_CLUSTERED = """p AS (SELECT DISTINCT ID, ORGANIZATION_ID AS g, LATITUDE AS la, LONGITUDE AS lo FROM ops_location WHERE IS_RESIDENTIAL = FALSE AND LATITUDE BETWEEN -90 AND 90 AND LONGITUDE BETWEEN -180 AND 180 AND ORGANIZATION_ID IS NOT NULL),
+e AS (SELECT a.ID AS a, b.ID AS b FROM p a JOIN p b ON a.g = b.g AND a.ID <> b.ID WHERE 2 * 6371007.2 * asin(sqrt(least(1.0, power(sin(radians(b.la - a.la) / 2), 2) + cos(radians(a.la)) * cos(radians(b.la)) * power(sin(radians(b.lo - a.lo) / 2), 2)))) < 100),
+w(a, b) AS (SELECT a, a FROM e UNION SELECT w.a, e.b FROM w JOIN e ON w.b = e.a), c AS (SELECT a AS id, min(b) AS cluster FROM w GROUP BY a), m AS (SELECT o.*, c.cluster FROM ops_location o JOIN c ON o.ID = c.id WHERE o.IS_RESIDENTIAL = FALSE)"""
+_MODE = lambda c: f"(SELECT v FROM (SELECT {c} AS v, count(*) AS k FROM m x WHERE x.cluster = q.cluster AND x.ORGANIZATION_ID = q.g AND {c} IS NOT NULL GROUP BY 1 ORDER BY k DESC, v LIMIT 1))"
+
+
+@query(f"""WITH RECURSIVE {_CLUSTERED}, q AS (SELECT ORGANIZATION_ID AS g, cluster, count(DISTINCT ID)::INTEGER AS n, CAST(sum(CAST(LATITUDE AS DECIMAL(18,9))) AS DOUBLE) / count(LATITUDE) AS la, CAST(sum(CAST(LONGITUDE AS DECIMAL(18,9))) AS DOUBLE) / count(LONGITUDE) AS lo FROM m GROUP BY 1, 2),
+r AS (SELECT *, {_MODE('OPS_STREET')} AS st, {_MODE('OPS_CITY')} AS ci, {_MODE('OPS_STATE')} AS sta, {_MODE('OPS_ZIP5')} AS zi, {_MODE('ORGANIZATION_NAME')} AS nm FROM q)
+SELECT sha256('site ' || cluster) AS ID, concat_ws(' ', nm, sta, 'P' || left(sha1(cluster), 8), st, ci) AS OPS_LOC_NAME, st AS OPS_STREET, ci AS OPS_CITY, sta AS OPS_STATE, zi AS OPS_ZIP5, n AS n_children, floor(la * 1e6 + 0.5) / 1e6 AS LATITUDE, floor(lo * 1e6 + 0.5) / 1e6 AS LONGITUDE FROM r""")
 def site_parents(spark: SparkSession, folder: str) -> DataFrame:
     """A parent record for each cluster of locations."""
     out = geo.sites(read(spark, folder, "ops_location"))
-    return out.select("ID", "OPS_LOC_NAME", "OPS_STREET", "OPS_CITY", "OPS_STATE", "OPS_ZIP5", F.size("children").alias("n_children"), F.round("LATITUDE", 6).alias("LATITUDE"), F.round("LONGITUDE", 6).alias("LONGITUDE"))
+    return out.select("ID", "OPS_LOC_NAME", "OPS_STREET", "OPS_CITY", "OPS_STATE", "OPS_ZIP5", F.size("children").alias("n_children"), *[(F.floor(F.col(c) * F.lit(1e6) + 0.5) / F.lit(1e6)).alias(c) for c in ("LATITUDE", "LONGITUDE")])
 
 
 _CACHE = """cache AS (SELECT lower(OPS_STREET) AS ops_street, OPS_CITY AS ops_city, OPS_STATE AS ops_state, OPS_ZIP5 AS ops_zip5, GEOCODE_ACCURACY AS accuracy, LATITUDE AS lat, LONGITUDE AS lon FROM soldto_location WHERE DELETED_AT IS NULL AND LATITUDE IS NOT NULL AND NOT isnan(GEOCODE_ACCURACY)),
@@ -358,22 +361,51 @@ def residential_flags(spark: SparkSession, folder: str) -> DataFrame:
     return geo.residential(read(spark, folder, "ops_location"), lookup, ["OPS_STREET", "OPS_CITY"]).select("ID", F.col("IS_RESIDENTIAL").alias("is_residential"))
 
 
-def _ranked(spark: SparkSession, folder: str, per_ops: bool) -> DataFrame:
-    dnb = read(spark, folder, "dim_location_dnb").where("DELETED_AT is null").select("ID", F.col("PHYS_ST_ABRV").alias("STATE"), F.left(F.trim("PHYS_ZIP5"), F.lit(3)).alias("ZIP3"), text.location_string("dnb").alias("text")).distinct()
-    ops = read(spark, folder, "ops_location").where("IS_ADDRESS and DELETED_AT is null").select("ID", F.col("OPS_STATE").alias("STATE"), F.left("OPS_ZIP5", F.lit(3)).alias("ZIP3"), text.location_string("ops_no_sublocation").alias("text")).distinct()
-    return match.rank(dnb, ops, F.col("text"), F.col("text"), ["STATE", "ZIP3"], per_ops=per_ops, threshold=match.THRESHOLD)
+def _third_party(spark: SparkSession, folder: str) -> DataFrame:
+    return read(spark, folder, "dim_location_dnb").where("DELETED_AT is null").select("ID", F.col("PHYS_ST_ABRV").alias("STATE"), F.left(F.trim("PHYS_ZIP5"), F.lit(3)).alias("ZIP3"), text.location_string("dnb").alias("text")).distinct()
 
 
-@query()
+def _canonical(spark: SparkSession, folder: str, *more: str) -> DataFrame:
+    return read(spark, folder, "ops_location").where("IS_ADDRESS and DELETED_AT is null").select("ID", F.col("OPS_STATE").alias("STATE"), F.left("OPS_ZIP5", F.lit(3)).alias("ZIP3"), text.location_string("ops_no_sublocation").alias("text"), *more).distinct()
+
+
+def _text_sql(*fields: str) -> str:
+    return f"concat_ws(' ', {', '.join(f'''nullif({c}, '')''' for c in fields)})"
+
+
+def _scores_sql(dim: str, ops: str, block: tuple[str, ...]) -> str:
+    """CTEs that end in `scored` (l, r, score): trigram TF-IDF products of all rows of `dim` and `ops` (ID, block columns,
+    text) that share a block and a trigram, weights by `dim`."""
+    b = ", ".join(block)
+    of = lambda t, k: f"{k}t AS (SELECT ID, {b}{', ' if b else ''}unnest(list_transform(range(1, greatest(length(text) - 1, 1)), lambda i: substring(lower(text), i, 3))) AS token FROM {t} WHERE length(text) > 2)"
+    side = lambda k: (
+        f"{k}c AS (SELECT ID, {b}{', ' if b else ''}token, count(*) * any_value(idf) AS w FROM {k}t JOIN v USING (token) GROUP BY ALL), {k}n AS (SELECT ID{', ' if b else ''}{b}, sqrt(sum(w * w)) AS norm FROM {k}c GROUP BY ALL), "
+        f"{k}w AS (SELECT {k}c.*, w / norm AS x FROM {k}c JOIN {k}n USING (ID{', ' if b else ''}{b}))"
+    )
+    return (
+        f"dim AS ({dim}), ops AS ({ops}), {of('dim', 'dd')}, {of('ops', 'oo')}, v AS (SELECT token, ln((1 + (SELECT count(DISTINCT ID) FROM dim)) / (1 + count(DISTINCT ID))) + 1 AS idf FROM ddt GROUP BY token), {side('dd')}, {side('oo')}, "
+        f"scored AS (SELECT ddw.ID AS l, oow.ID AS r, {', '.join('ddw.' + c for c in block)}{', ' if b else ''}round(sum(ddw.x * oow.x), 9) AS score FROM ddw JOIN oow USING ({b}{', ' if b else ''}token) GROUP BY ALL)"
+    )
+
+
+_DNB_ROWS = f"SELECT DISTINCT ID, PHYS_ST_ABRV AS STATE, left(trim(PHYS_ZIP5), 3) AS ZIP3, {_text_sql('PHYS_STRT_AD', 'PHYS_CTY', 'PHYS_ST_ABRV', 'PHYS_ZIP5')} AS text FROM dim_location_dnb WHERE DELETED_AT IS NULL"
+_OPS_ROWS = f"SELECT DISTINCT ID, OPS_STATE AS STATE, left(OPS_ZIP5, 3) AS ZIP3, {_text_sql('OPS_STREET', 'OPS_CITY', 'OPS_STATE', 'OPS_ZIP5')} AS text FROM ops_location WHERE IS_ADDRESS AND DELETED_AT IS NULL"
+_DNB_SCORES = _scores_sql(_DNB_ROWS, _OPS_ROWS, ("STATE", "ZIP3"))
+_BEST_OF = "SELECT l, r, score FROM scored WHERE score >= {1} QUALIFY row_number() OVER (PARTITION BY {0} ORDER BY score DESC, {2}) = 1"
+
+
+@query(f"WITH {_DNB_SCORES} SELECT r AS ops_id, l AS dnb_id, round(score, 6) AS score FROM ({_BEST_OF.format('r', match.THRESHOLD, 'l')})")
 def match_dnb(spark: SparkSession, folder: str) -> DataFrame:
     """The most alike third-party record of every canonical address of its state and zip area."""
-    return _ranked(spark, folder, True).select(F.col("right_id").alias("ops_id"), F.col("left_id").alias("dnb_id"), F.round("score", 6).alias("score"))
+    found = match.rank(_third_party(spark, folder), _canonical(spark, folder), F.col("text"), F.col("text"), ["STATE", "ZIP3"], per_ops=True, threshold=match.THRESHOLD)
+    return found.select(F.col("right_id").alias("ops_id"), F.col("left_id").alias("dnb_id"), F.round("score", 6).alias("score"))
 
 
-@query()
+@query(f"WITH {_DNB_SCORES} SELECT l AS dnb_id, r AS ops_id, round(score, 6) AS score FROM ({_BEST_OF.format('l', match.THRESHOLD, 'r')})")
 def match_best_ops(spark: SparkSession, folder: str) -> DataFrame:
     """The most alike canonical address of every third-party record of its state and zip area."""
-    return _ranked(spark, folder, False).select(F.col("left_id").alias("dnb_id"), F.col("right_id").alias("ops_id"), F.round("score", 6).alias("score"))
+    found = match.rank(_third_party(spark, folder), _canonical(spark, folder), F.col("text"), F.col("text"), ["STATE", "ZIP3"], threshold=match.THRESHOLD)
+    return found.select(F.col("left_id").alias("dnb_id"), F.col("right_id").alias("ops_id"), F.round("score", 6).alias("score"))
 
 
 _WORDS = "list_filter(string_split_regex(lower({}), '[^a-z0-9]+'), lambda x: x <> '')"
@@ -388,7 +420,11 @@ def tfidf_weights(spark: SparkSession, folder: str) -> DataFrame:
     return match.tfidf(rows, "ID", match.word_grams(F.col("ORGANIZATION_NAME"))).select("id", "token", F.round("weight", 6).alias("weight"))
 
 
-@query()
+@query(f"""WITH o AS (SELECT ID AS id, ORGANIZATION_NAME AS name FROM organization), t AS (SELECT id, unnest({_WORDS.format('name')}) AS token FROM o), v AS (SELECT token, ln((1 + (SELECT count(DISTINCT id) FROM o)) / (1 + count(DISTINCT id))) + 1 AS idf FROM t GROUP BY token),
+c AS (SELECT id, token, count(*) * any_value(idf) AS w FROM t JOIN v USING (token) GROUP BY id, token), n AS (SELECT id, sqrt(sum(w * w)) AS norm FROM c GROUP BY id), x AS (SELECT id, token, w / norm AS x FROM c JOIN n USING (id)),
+s AS (SELECT a.id, b.id AS other, round(sum(a.x * b.x), 9) AS score FROM x a JOIN x b ON a.token = b.token AND a.id <> b.id GROUP BY 1, 2), k AS (SELECT * FROM s WHERE score > 0 QUALIFY row_number() OVER (PARTITION BY id ORDER BY score DESC, other) <= 5),
+votes AS (SELECT k.id, string_split(name, ' ')[-1] AS label, round(sum(score), 9) AS votes FROM k JOIN o ON k.other = o.id GROUP BY 1, 2)
+SELECT id, label, round(votes, 6) AS votes FROM votes QUALIFY row_number() OVER (PARTITION BY id ORDER BY votes DESC, label) = 1""")
 def knn_sources(spark: SparkSession, folder: str) -> DataFrame:
     """Organisations' kind of business by the votes of their nearest names, from the last word of every other one."""
     rows = read(spark, folder, "organization").select(F.col("ID").alias("id"), "ORGANIZATION_NAME")
@@ -397,7 +433,9 @@ def knn_sources(spark: SparkSession, folder: str) -> DataFrame:
     return match.neighbour_votes(rows.select("id", label.alias("label")), weights, 5, itself=False).select("id", "label", F.round("votes", 6).alias("votes"))
 
 
-@query()
+@query(f"""WITH d AS (SELECT DISTINCT ID, ORGANIZATION_ID AS g, STATE, upper({_text_sql('DEPARTMENT', 'ATTENTION', 'SUPPLEMENTAL', 'RECEIVER', 'STREET_NUM', 'STREET', 'CITY', 'STATE', 'ZIP5')}) AS text FROM dim_location_sales_order),
+o AS (SELECT DISTINCT ID, g, STATE, {_MARKED} AS marker FROM (SELECT ID, ORGANIZATION_ID AS g, OPS_STATE AS STATE, {_PIECES.format('OPS_SUBLOCATION')} AS k FROM ops_location WHERE IS_BUILDING))
+SELECT DISTINCT d.ID AS dim_id, o.ID AS ops_id FROM d JOIN o USING (g, STATE) WHERE marker IS NOT NULL AND regexp_matches(text, '(?i)' || marker)""")
 def marker_matches(spark: SparkSession, folder: str) -> DataFrame:
     """Raw records in whose text the marker of a sub-location of their organisation and state is found."""
     dim = read(spark, folder, "dim_location_sales_order").select("ID", "ORGANIZATION_ID", "STATE", F.upper(text.location_string("simple")).alias("text")).distinct()
@@ -405,6 +443,16 @@ def marker_matches(spark: SparkSession, folder: str) -> DataFrame:
     return match.marked(dim, ops, "text", "marker", ["ORGANIZATION_ID", "STATE"]).distinct()
 
 
+def _lcs(a: str, b: str) -> str:
+    """Length of the longest common subsequence of two texts: one row of lengths after the other."""
+    row = "list_reduce(range(1, length({1}) + 1), lambda q, j: list_append(q, greatest(q[-1], p[j + 1], p[j] + CAST(substring({1}, j, 1) = c AS INTEGER))), [0])".replace("{1}", b)
+    return f"coalesce(list_reduce(list_transform(range(1, length({a}) + 1), lambda i: substring({a}, i, 1)), lambda p, c: {row}, list_resize([0], length({b}) + 1, 0))[-1], 0)"
+
+
+def _ratio(a: str, b: str) -> str:
+    return f"CASE WHEN length({a}) + length({b}) = 0 THEN 100 ELSE CAST(round_even(200 * {_lcs(a, b)} / (length({a}) + length({b})), 0) AS INTEGER) END"
+
+
 @query()
 def fuzzy_ratios(spark: SparkSession, folder: str) -> DataFrame:
     """Two similarities of typed names and the organisation's they are linked to."""

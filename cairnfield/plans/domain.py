@@ -85,7 +85,8 @@ _ORPHANS = "\nUNION ALL\n".join(map(_orphan_sql, REFERENCES))
 SQL = {
     "p1_found": f"""WITH RECURSIVE {_LINKS} SELECT id, CASE WHEN looped THEN 'cycle' ELSE root_id END root_id,
   CASE WHEN self THEN -1 WHEN looped THEN -2 ELSE depth END::INTEGER depth FROM ends""",
-    "p1_paths": f"WITH RECURSIVE {_LINKS} SELECT id, root_id, depth, array_to_string(path, '>') path FROM ends WHERE NOT looped",
+    "p1_paths": f"""WITH RECURSIVE {_LINKS.replace('WHERE r.pn IS NOT NULL GROUP BY', 'GROUP BY')} SELECT id, CASE WHEN looped THEN 'cycle' ELSE root_id END root_id,
+  CASE WHEN self THEN -1 WHEN looped THEN -2 ELSE depth END::INTEGER depth, CASE WHEN NOT looped THEN array_to_string(path, '>') END path FROM ends""",
     "p1_descendants": f"""WITH RECURSIVE {_LINKS} SELECT w.top ancestor_id, w.id descendant_id, w.depth::INTEGER levels
 FROM walk w JOIN ends e ON w.id = e.id WHERE NOT e.looped AND w.depth > 0""",
     "p3_found": _ORPHANS,

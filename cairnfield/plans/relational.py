@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cairnfield.functions.keys import key_form
 from cairnfield.functions.text import content_id, edge_bin, equal_width_bin, joined, location_string
 from cairnfield.operators import accounts, bridge, dml, metrics, scopes
+from cairnfield.operators.curate import counts
 from cairnfield.sources.tables import read
 
 QUERIES: dict = {}
@@ -288,10 +289,8 @@ def domain_mode(spark: SparkSession, folder: str) -> DataFrame:
   count(STREET) OVER (PARTITION BY STREET, CITY, STATE, ZIP5) AS raw_cnt FROM dim_location_sales_order""")
 def address_counts(spark: SparkSession, folder: str) -> DataFrame:
     """How often each raw street and place occurs, beside every record."""
-    from pyspark.sql import Window
-
-    over = lambda *k: F.count("STREET").over(Window.partitionBy(*k))
-    return _sales(spark, folder).select("ID", over("STREET").alias("street_cnt"), over("STREET", "CITY", "ZIP5").alias("street_city_zip_cnt"), over("STREET", "CITY", "STATE", "ZIP5").alias("raw_cnt"))
+    of = {"street_cnt": ("STREET",), "street_city_zip_cnt": ("STREET", "CITY", "ZIP5"), "raw_cnt": ("STREET", "CITY", "STATE", "ZIP5")}
+    return counts(_sales(spark, folder).select("ID", "STREET", "CITY", "STATE", "ZIP5"), of).select("ID", *of)
 
 
 @query("SELECT c_custkey, c_acctbal, CAST(CASE WHEN c_acctbal = m.hi THEN 4 ELSE least(4, floor((c_acctbal - m.lo) / (m.hi - m.lo) * 5)) END AS INTEGER) AS bin, CASE WHEN c_acctbal > 5000 THEN 'high' WHEN c_acctbal > 0 THEN 'low' END AS band FROM customer, (SELECT min(c_acctbal) AS lo, max(c_acctbal) AS hi FROM customer) m")
@@ -349,7 +348,13 @@ def similar_names(spark: SparkSession, folder: str) -> DataFrame:
     return accounts.similar_pairs(read(spark, folder, "organization"), "ID", "ORGANIZATION_NAME", 60)
 
 
-@query()
+_DRAW = "CAST('0x' || substr(md5(concat_ws('|', {0})), 1, 15) AS BIGINT)"
+
+
+@query(f"""WITH r AS (SELECT c_custkey, c_name LIKE '%/%' AS slash, CAST(CASE WHEN c_acctbal = m.hi THEN 4 ELSE least(4, floor((c_acctbal - m.lo) / (m.hi - m.lo) * 5)) END AS INTEGER) AS bin FROM customer, (SELECT min(c_acctbal) AS lo, max(c_acctbal) AS hi FROM customer) m),
+i AS (SELECT *, row_number() OVER (PARTITION BY bin, slash ORDER BY {_DRAW.format("'42', c_custkey")}, c_custkey) AS i FROM r), g AS (SELECT bin, slash, count(*) AS n FROM r GROUP BY 1, 2),
+d AS (SELECT bin, slash, draw, {_DRAW.format("'42', bin, slash, draw")} % n + 1 AS i FROM g, (SELECT unnest([1, 2, 3]) AS draw))
+SELECT c_custkey, bin, slash, draw FROM i JOIN d USING (bin, slash, i)""")
 def account_sample(spark: SparkSession, folder: str) -> DataFrame:
     """Three customers, drawn with replacement, of each of five bins of balance."""
     return accounts.sample_bins(read(spark, folder, "customer"), "c_acctbal", "c_name", 5, 3, 42, "c_custkey").select("c_custkey", "bin", "slash", "draw")
