@@ -44,6 +44,20 @@ def location_tokens(columns: Sequence[str], ignored: Sequence[str] = (), diction
     return F.array_distinct(F.filter(tokens, lambda t: (t != "") & ~F.array_contains(banned, t)))
 
 
+def address_line(*columns: str) -> Column:
+    """The trimmed texts of the columns as one line, parted by commas, missing ones left out."""
+    return joined(*[F.trim(F.col(c).cast("string")) for c in columns], sep=", ")
+
+
+def number_street(c: Column) -> Column:
+    """(number, street) of an address: a house number that the text starts with (digits, perhaps a letter or a fraction), and
+    what follows it up to a word for a part of a site or a comma; null where the text has none."""
+    number = F.regexp_extract(c, r"^\s*(\d+[A-Za-z]?(?:\s+\d/\d)?)(?:\s|,|$)", 1)
+    rest = F.regexp_replace(c, r"^\s*(\d+[A-Za-z]?(?:\s+\d/\d)?)(?:[\s,]+|$)", "")
+    street = F.trim(F.regexp_replace(rest, r"(?i)(,|#|\b(?:suite|ste|unit|apt|apartment|room|rm|floor|dock|door|gate|building|bldg)\b).*$", ""))
+    return F.struct(F.nullif(number, F.lit("")).alias("number"), F.nullif(street, F.lit("")).alias("street"))
+
+
 def content_id(*columns: str) -> Column:
     """A SHA-256 over the texts joined by a blank, nulls as empty: the same for the same content on every run."""
     return F.sha2(F.concat_ws(" ", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]), 256)

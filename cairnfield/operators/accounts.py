@@ -36,6 +36,24 @@ def domain_mode(frequency: DataFrame, key: str) -> DataFrame:
     return best.select(key, "b.domain", "b.n")
 
 
+def domain_modes(frequency: DataFrame, key: str) -> DataFrame:
+    """(key, domain, n): all the most frequent domains of each key."""
+    most = frequency.groupBy(key).agg(F.max("n").alias("n"))
+    return frequency.join(most, [key, "n"]).select(key, "domain", "n")
+
+
+def with_mode(df: DataFrame, frequency: DataFrame, key: str) -> DataFrame:
+    """The rows with the most frequent domain of their key, null where it has none."""
+    return df.join(domain_mode(frequency, key).drop("n"), key, "left")
+
+
+def by_track_code(df: DataFrame, code: str, bins: int, account: str = "SOLD_ACCOUNT", track: str = "TRACK_CODE") -> DataFrame:
+    """(account, n, bin): the accounts that have rows of a track code, how many, and their bin of so many equal widths."""
+    rows = df.where((F.col(track) == code) & F.col(account).isNotNull()).groupBy(account).agg(F.count("*").alias("n"))
+    ends = rows.agg(F.min("n").alias("_low"), F.max("n").alias("_high"))
+    return rows.crossJoin(F.broadcast(ends)).select(account, "n", equal_width_bin(F.col("n"), F.col("_low"), F.col("_high"), bins).alias("bin"))
+
+
 def slash_halves(c: Column) -> tuple[Column, Column]:
     """The parts before and after the first slash; the whole and null where there is none."""
     has = F.contains(c, F.lit("/"))
@@ -65,6 +83,11 @@ def similar_names(df: DataFrame, id_col: str, name: str, target: str, threshold:
     return rows.withColumn("similarity", ratio(F.upper(name), F.lit(target.upper()))).where(F.col("similarity") >= threshold)
 
 
+def ranked_names(df: DataFrame, id_col: str, name: str, target: str, threshold: int) -> DataFrame:
+    """`similar_names`, the most alike first."""
+    return similar_names(df, id_col, name, target, threshold).orderBy(F.desc("similarity"), id_col)
+
+
 def similar_pairs(df: DataFrame, id_col: str, name: str, threshold: int) -> DataFrame:
     """(target, id, name, similarity) of the names at least so alike to that of each row, the target, itself left out."""
     rows = df.select(F.col(id_col), F.col(name)).where(F.col(name).isNotNull()).distinct()

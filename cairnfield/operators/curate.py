@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cairnfield.functions.text import content_id, joined, title_case
+from cairnfield.functions.text import content_id, joined, ratio, title_case
 from cairnfield.operators import address as A
 from cairnfield.operators.stats_dict import repaired
 from cairnfield.session import cut, parallelism
@@ -121,3 +121,34 @@ def override_place(df: DataFrame, key: Sequence[str], columns: Sequence[str], tr
     order = F.when(several & (F.col("GEOCODE_ACCURACY") > trusted), F.struct(F.lit(1), F.col("RAW_STREET_COUNT").cast("double"), values)).otherwise(F.struct(F.lit(0), F.coalesce("GEOCODE_ACCURACY", F.lit(-1.0)), values))
     best = F.max(order).over(w)["col3"]
     return df.withColumn("_best", F.when(differ & ~route, best).otherwise(values)).withColumns({c: F.col(f"_best.{c}") for c in columns}).drop("_best")
+
+
+#: Levels of a geocode whose street can be trusted.
+STREET_LEVELS = ("rooftop", "range_interpolation", "nearest_rooftop_match")
+
+
+def override_street(df: DataFrame, geocoded: str = "GEOCODED_STREET", least: int = 80) -> DataFrame:
+    """OPS_STREET of all rows at one coordinate replaced by the one that is most like the geocoder's street, where rows differ,
+    the geocode is of a level to trust and the likeness is high enough; ties go to the smallest text. Off by default."""
+    key = ["LATITUDE", "LONGITUDE"]
+    fit = F.when(F.col("GEOCODE_LEVEL").isin(*STREET_LEVELS), ratio(F.upper("OPS_STREET"), F.upper(geocoded)))
+    rated = df.withColumn("_fit", fit)
+    best = rated.dropna(subset=key).groupBy(*key).agg(F.count_distinct("OPS_STREET").alias("_n"), F.min(F.when(F.col("_fit") >= least, F.struct((-F.col("_fit")).alias("f"), F.col("OPS_STREET").alias("s")))).alias("_b"))
+    out = rated.join(best, key, "left")
+    return out.withColumn("OPS_STREET", F.when(F.col("_n") > 1, F.coalesce("_b.s", "OPS_STREET")).otherwise(F.col("OPS_STREET"))).drop("_fit", "_n", "_b")
+
+
+def presented(df: DataFrame) -> DataFrame:
+    """Precurated rows in the order they are looked through: frequent addresses first, then by place and sub-location."""
+    return df.orderBy(*[F.desc(c) for c in ("ADDRESS_cnt", "ADDRESS", "ADDRESS_CITY_ZIP5_cnt", "CITY", "SUBLOCATION_LVL1_cnt", "SUBLOCATION_LVL1")])
+
+
+def sanitised(df: DataFrame) -> DataFrame:
+    """Coordinates as numbers, null where they are none, and the organisation's id as a text."""
+    kinds = {"LATITUDE": "double", "LONGITUDE": "double", "ORGANIZATION_ID": "string"}
+    return df.withColumns({c: F.col(c).try_cast(k) for c, k in kinds.items() if c in df.columns})
+
+
+def with_county(df: DataFrame, counties: DataFrame, code: str = "ZIP5") -> DataFrame:
+    """The rows with COUNTY of their zip by a reference (ZIP5, COUNTY), null where it has none; the smallest of several."""
+    return df.join(counties.groupBy(F.col("ZIP5").alias(code)).agg(F.min("COUNTY").alias("COUNTY")), code, "left")

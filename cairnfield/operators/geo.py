@@ -131,17 +131,29 @@ def split_by_cache(addresses: DataFrame, cache: DataFrame, keys: Sequence[str] =
     return asked.join(best, list(keys)), asked.join(best, list(keys), "left_anti")
 
 
-def geocode(addresses: DataFrame, cache: DataFrame, provider: Callable[[pd.DataFrame], pd.DataFrame] | None = None, keys: Sequence[str] = CACHE_KEYS, batch: int = 10_000) -> DataFrame:
+def geocode(addresses: DataFrame, cache: DataFrame, provider: Callable[[pd.DataFrame], pd.DataFrame] | None = None, keys: Sequence[str] = CACHE_KEYS, batch: int = 10_000, tries: int = 3) -> DataFrame:
     """A geocode for every distinct address: from the cache, else from the provider, which is asked once per address in
-    batches of at most `batch` and returns a frame of `FOUND` in the same order; nulls without a provider."""
+    batches of at most `batch` and returns a frame of `FOUND` in the same order. A batch that fails so many times, or whose
+    answer has another length, gives nulls, as does a missing provider."""
     hits, misses = split_by_cache(addresses, cache, keys)
     schema = ", ".join([*[f"{k} string" for k in keys], FOUND])
+    names = [x.split()[0] for x in FOUND.split(", ")]
+
+    def answer(part: pd.DataFrame) -> pd.DataFrame:
+        for _ in range(tries):
+            try:
+                got = provider(part)
+                if len(got) == len(part):
+                    return got.reset_index(drop=True)[names]
+            except Exception:  # noqa: BLE001 - whatever a provider raises, the batch is tried again
+                continue
+        return pd.DataFrame({n: [None] * len(part) for n in names})
 
     def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             for start in range(0, len(pdf), batch):
                 part = pdf.iloc[start : start + batch].reset_index(drop=True)
-                yield pd.concat([part, provider(part).reset_index(drop=True)], axis=1)
+                yield pd.concat([part, answer(part)], axis=1)
 
     if provider is None:
         found = misses.select(*keys, *[F.lit(None).cast(k).alias(c) for c, k in (x.split() for x in FOUND.split(", "))])
@@ -150,6 +162,20 @@ def geocode(addresses: DataFrame, cache: DataFrame, provider: Callable[[pd.DataF
     return hits.unionByName(found)
 
 
+def geocode_rows(df: DataFrame, columns: Sequence[str], cache: DataFrame, provider: Callable[[pd.DataFrame], pd.DataFrame] | None = None, keys: Sequence[str] = CACHE_KEYS) -> DataFrame:
+    """The rows with the geocode of their address: `columns` name the rows' columns for the keys; every distinct address is
+    looked up once and its geocode joined back to all its rows."""
+    asked = df.withColumns({f"_{k}": F.coalesce(F.lower(F.col(c)) if k == "ops_street" else F.col(c), F.lit("")) for k, c in zip(keys, columns, strict=True)})
+    found = geocode(asked.select(*[F.col(f"_{k}").alias(k) for k in keys]), cache, provider, keys).withColumnsRenamed({k: f"_{k}" for k in keys})
+    return asked.join(found, [f"_{k}" for k in keys], "left").drop(*[f"_{k}" for k in keys])
+
+
+def new_cache_rows(found: DataFrame, cache: DataFrame, keys: Sequence[str] = CACHE_KEYS) -> DataFrame:
+    """The rows to append to the cache: geocodes with coordinates of addresses that it lacks, each once."""
+    known = cache.select(*[F.coalesce(F.col(k), F.lit("")).alias(k) for k in keys]).distinct()
+    return found.where("lat is not null and lon is not null").join(known, list(keys), "left_anti").dropDuplicates(list(keys))
+
+
 def residential(df: DataFrame, lookup: DataFrame, keys: Sequence[str], svs: str = "svs_rdi", ups: str = "ups_rdi") -> DataFrame:
     """The rows with IS_RESIDENTIAL: true where either provider says so for their address, else false."""
     says = F.coalesce(F.col(svs) == "R", F.lit(False)) | F.coalesce(F.col(ups) == "Residential", F.lit(False))

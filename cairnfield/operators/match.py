@@ -11,9 +11,10 @@ id. Empty tables give no rows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import random
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cairnfield.session import cut
@@ -120,15 +121,70 @@ def training_pairs(ranked: DataFrame, threshold: float = THRESHOLD) -> DataFrame
     return ranked.where(F.col("score") >= threshold).select(F.col("left_id").alias("ID"), F.col("right_id").alias("ID_y"))
 
 
-def neighbour_votes(labelled: DataFrame, weights: DataFrame, k: int = 5, itself: bool = True) -> DataFrame:
+def neighbour_votes(labelled: DataFrame, weights: DataFrame, k: int = 5, itself: bool = True, block: Sequence[str] = ()) -> DataFrame:
     """(id, label, votes): for every row of `weights` the label with the highest summed score among its k nearest labelled
-    rows (id, label), `itself` included or not."""
-    near = nearest(weights, weights.join(labelled.select("id").distinct(), "id"), (), k, 0.0, itself)
+    rows (id, label) of its block, `itself` included or not."""
+    near = nearest(weights, weights.join(labelled.select("id").distinct(), "id"), block, k, 0.0, itself)
     votes = near.join(labelled.select(F.col("id").alias("right_id"), "label"), "right_id").groupBy("left_id", "label").agg(F.sum("score").alias("votes"))
     top = votes.groupBy("left_id").agg(F.min(F.struct((-F.round("votes", DIGITS)).alias("v"), "label")).alias("b"))
     return top.select(F.col("left_id").alias("id"), F.col("b.label").alias("label"), (-F.col("b.v")).alias("votes"))
 
 
+def voted(dim: DataFrame, ops: DataFrame, dim_text: Column, ops_text: Column, block: Sequence[str], k: int = 5, threshold: float = THRESHOLD) -> DataFrame:
+    """(dim_id, ops_id, votes): a canonical row for every raw row: raw rows whose best one is sure are labelled with it, and the
+    k nearest labelled rows of the block, itself among them, vote."""
+    sure = training_pairs(rank(dim, ops, dim_text, ops_text, block), threshold)
+    weights = tfidf(dim, "ID", char_grams(dim_text), block)
+    found = neighbour_votes(cut(sure.select(F.col("ID").alias("id"), F.col("ID_y").alias("label"))), weights, k, True, block)
+    return found.select(F.col("id").alias("dim_id"), F.col("label").alias("ops_id"), "votes")
+
+
+def scored_left(dim: DataFrame, ops: DataFrame, dim_text: Column, ops_text: Column, block: Sequence[str]) -> DataFrame:
+    """(dim_id, ops_id, score) of every raw row with its best canonical row of the block; without any the id is null and the score 0."""
+    best = rank(dim, ops, dim_text, ops_text, block)
+    rows = dim.select(F.col("ID").alias("dim_id")).distinct().join(best.withColumnRenamed("left_id", "dim_id"), "dim_id", "left")
+    return rows.select("dim_id", F.col("right_id").alias("ops_id"), F.coalesce("score", F.lit(0.0)).alias("score"))
+
+
+def joint_weights(df: DataFrame, id_col: str, parts: Sequence[tuple[str, Column, float]], min_df: int = 1, max_df: float = 1.0) -> DataFrame:
+    """(id, token, weight): several kinds of features (name, tokens, weight) side by side, each of unit length before its weight."""
+    out = None
+    for name, tokens, weight in parts:
+        rows = tfidf(df, id_col, tokens, (), None, min_df, max_df).select("id", F.concat(F.lit(f"{name}:"), "token").alias("token"), (F.col("weight") * weight).alias("weight"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def folds(df: DataFrame, id_col: str, label: str, n: int = 5, seed: int = 42) -> DataFrame:
+    """The rows with `fold` 0 … n-1, every label's rows spread evenly in an order that the seed decides."""
+    return df.withColumn("fold", (F.row_number().over(Window.partitionBy(label).orderBy(F.xxhash64(F.lit(seed), id_col), id_col)) - 1) % n)
+
+
+def cross_validated(df: DataFrame, weights: DataFrame, id_col: str, label: str, k: int, n: int = 5, seed: int = 42) -> DataFrame:
+    """(fold, f1, n): the weighted F1 of votes of the k nearest rows, each fold judged by the others."""
+    rows = cut(folds(df, id_col, label, n, seed).select(F.col(id_col).alias("id"), F.col(label).alias("label"), "fold"))
+    out = None
+    for fold in range(n):
+        held = rows.where(F.col("fold") == fold)
+        found = neighbour_votes(rows.where(F.col("fold") != fold).select("id", "label"), weights, k).select("id", F.col("label").alias("found"))
+        one = weighted_f1(held.join(found, "id", "left"), "label", "found").select(F.lit(fold).alias("fold"), "f1", "n")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def mean_score(scores: DataFrame) -> float:
+    """The mean of the folds' scores, weighted by their rows; 0 without rows."""
+    return float(scores.agg(F.sum(F.col("f1") * F.col("n")) / F.sum("n")).first()[0] or 0.0)
+
+
+def random_search(space: dict[str, Sequence], evaluate: Callable[[dict], float], tries: int, seed: int = 42) -> list[tuple[float, dict]]:
+    """(score, setting) of so many settings drawn from the space, the best first; each distinct setting is evaluated once."""
+    draws = random.Random(seed)
+    drawn = [{k: draws.choice(list(v)) for k, v in space.items()} for _ in range(tries)]
+    distinct = list({repr(sorted(d.items())): d for d in drawn}.values())
+    return sorted(((evaluate(d), d) for d in distinct), key=lambda x: -x[0])
+
+
 def marked(dim: DataFrame, ops: DataFrame, text: str, marker: str, block: Sequence[str], dim_id: str = "ID", ops_id: str = "ID") -> DataFrame:
     """(dim_id, ops_id): raw rows of a block in whose text a canonical row's marker is found, whatever the case."""
     rows = dim.select(*block, F.col(dim_id).alias("dim_id"), F.col(text).alias("_text"))

@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cairnfield.operators.dml import append
+
 
 @dataclass(frozen=True)
 class Metric:
@@ -35,3 +37,8 @@ def _one(tables: dict[str, DataFrame], m: Metric) -> DataFrame:
 def run_metrics(tables: dict[str, DataFrame], metrics: Sequence[Metric], run_id: str) -> DataFrame:
     """(category, entity, metric, result, in_millions, run_id) of every metric."""
     return reduce(DataFrame.unionByName, [_one(tables, m) for m in metrics]).withColumn("run_id", F.lit(run_id))
+
+
+def append_metrics(found: DataFrame, table: str) -> None:
+    """Append a run's metrics to a table, with the time of their writing."""
+    append(found.withColumn("created_at", F.current_timestamp()), table)

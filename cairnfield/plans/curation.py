@@ -445,15 +445,22 @@ def marker_matches(spark: SparkSession, folder: str) -> DataFrame:
 
 def _lcs(a: str, b: str) -> str:
     """Length of the longest common subsequence of two texts: one row of lengths after the other."""
-    row = "list_reduce(range(1, length({1}) + 1), lambda q, j: list_append(q, greatest(q[-1], p[j + 1], p[j] + CAST(substring({1}, j, 1) = c AS INTEGER))), [0])".replace("{1}", b)
-    return f"coalesce(list_reduce(list_transform(range(1, length({a}) + 1), lambda i: substring({a}, i, 1)), lambda p, c: {row}, list_resize([0], length({b}) + 1, 0))[-1], 0)"
+    row = "list_reduce(range(1, length({1}) + 1), lambda now, j: list_append(now, greatest(now[-1], was[j + 1], was[j] + CAST(substring({1}, j, 1) = c AS INTEGER))), [0])".replace("{1}", b)
+    return f"coalesce(list_reduce(list_transform(range(1, length({a}) + 1), lambda i: substring({a}, i, 1)), lambda was, c: {row}, list_resize([0], length({b}) + 1, 0))[-1], 0)"
 
 
 def _ratio(a: str, b: str) -> str:
     return f"CASE WHEN length({a}) + length({b}) = 0 THEN 100 ELSE CAST(round_even(200 * {_lcs(a, b)} / (length({a}) + length({b})), 0) AS INTEGER) END"
 
 
-@query()
+_SPLIT = "list_distinct(list_filter(string_split_regex({0}, '\\s+'), lambda x: x <> ''))"
+_JOINED = "trim(array_to_string(list_concat(z, list_sort({0})), ' '))"
+
+
+@query(f"""WITH o AS (SELECT ID AS org, upper(ORGANIZATION_NAME) AS listed FROM organization), r AS (SELECT a.ID, upper(a.ACCOUNT_NAME) AS typed, listed FROM organization_soldto_account a JOIN o ON a.ORGANIZATION_ID = o.org),
+w AS (SELECT *, {_SPLIT.format('typed')} AS x, {_SPLIT.format('listed')} AS y FROM r), v AS (SELECT *, list_sort(list_intersect(x, y)) AS z, list_filter(x, lambda t: NOT list_contains(y, t)) AS dx, list_filter(y, lambda t: NOT list_contains(x, t)) AS dy FROM w),
+u AS (SELECT *, array_to_string(z, ' ') AS b, {_JOINED.format('dx')} AS p, {_JOINED.format('dy')} AS q FROM v)
+SELECT ID, {_ratio('typed', 'listed')} AS ratio, CASE WHEN len(z) > 0 AND (len(dx) = 0 OR len(dy) = 0) THEN 100 ELSE greatest({_ratio('p', 'q')}, CASE WHEN len(z) > 0 THEN greatest({_ratio('b', 'p')}, {_ratio('b', 'q')}) ELSE 0 END) END AS token_set_ratio FROM u""")
 def fuzzy_ratios(spark: SparkSession, folder: str) -> DataFrame:
     """Two similarities of typed names and the organisation's they are linked to."""
     names = read(spark, folder, "organization").select(F.col("ID").alias("ORGANIZATION_ID"), F.upper("ORGANIZATION_NAME").alias("listed"))

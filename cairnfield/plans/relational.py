@@ -192,12 +192,20 @@ def bridge_standalone(spark: SparkSession, folder: str) -> DataFrame:
     return bridge.bridge(read(spark, folder, "ops_location").where("MAIN_LOC_NAME is null or trim(MAIN_LOC_NAME) = ''"), "ID", "OPS_LOC_NAME", "MAIN_LOC_NAME")
 
 
+#: The tables that a run is measured by, their category and key.
+MEASURED = {
+    "dim_location_sales_order": ("location", "ID"), "ops_location": ("location", "ID"), "soldto_location": ("location", "ID"), "dim_location_soldto": ("location", "ID"), "dim_location_keepstock": ("location", "ID"), "dim_location_dnb": ("location", "ID"),
+    "zip_reference": ("location", "ZIP5"), "organization": ("organization", "ID"), "organization_soldto_account": ("organization", "ID"), "region": ("sales", "r_regionkey"), "nation": ("sales", "n_nationkey"), "customer": ("sales", "c_custkey"),
+    "supplier": ("sales", "s_suppkey"), "part": ("sales", "p_partkey"), "orders": ("sales", "o_orderkey"), "lineitem": ("sales", "l_orderkey"), "events": ("events", "event_id"), "documents": ("corpus", "doc_id"), "notebook_cells": ("corpus", "doc_id"), "mix_targets": ("corpus", "mix_id"),
+}
 METRICS = (
-    *[metrics.Metric("location", t, "count") for t in ("dim_location_sales_order", "ops_location", "soldto_location", "dim_location_soldto", "dim_location_keepstock", "dim_location_dnb", "organization", "organization_soldto_account")],
-    *[metrics.Metric("location", t, "duplicates", "ID") for t in ("dim_location_sales_order", "ops_location", "soldto_location", "dim_location_soldto", "dim_location_keepstock", "dim_location_dnb", "organization", "organization_soldto_account")],
+    *[metrics.Metric(c, t, "count") for t, (c, _) in MEASURED.items()],
+    *[metrics.Metric(c, t, "duplicates", k) for t, (c, k) in MEASURED.items()],
     metrics.Metric("organization", "dim_location_sales_order", "missing", "ORGANIZATION_ID", "organization", "ID"),
     metrics.Metric("organization", "organization_soldto_account", "missing", "ORGANIZATION_ID", "organization", "ID"),
-)
+    metrics.Metric("organization", "ops_location", "missing", "ORGANIZATION_ID", "organization", "ID"),
+    metrics.Metric("sales", "orders", "missing", "o_custkey", "customer", "c_custkey"),
+)
 
 
 def _metric_sql(m: metrics.Metric) -> str:

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from cairnfield.operators.scopes import bucketed
+
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """A delimited file with a header and a declared schema."""
@@ -39,8 +41,13 @@ def read_scopes(spark: SparkSession, path: str, identifier: str, group: str, buc
 
 def number_workers(scopes: DataFrame, order: Sequence[str], workers: int, chunk: int) -> DataFrame:
     """The scopes with the worker (contiguous, the first taking the remainder) and the chunk within it of at most so many."""
-    w = scopes.withColumn("bucket", F.ntile(workers).over(Window.orderBy(*order)) - 1)
-    return w.withColumn("chunk", F.floor((F.row_number().over(Window.partitionBy("bucket").orderBy(*order)) - 1) / chunk).cast("int"))
+    rows = bucketed(scopes, order, workers)
+    return rows.withColumn("chunk", F.floor((F.row_number().over(Window.partitionBy("bucket").orderBy(*order)) - 1) / chunk).cast("int"))
+
+
+def append_results(df: DataFrame, path: str) -> None:
+    """Append result rows of a search to delimited files with a header."""
+    df.write.mode("append").option("header", True).csv(path)
 
 
 def write_run(path: str, run: dict[str, str]) -> None:
