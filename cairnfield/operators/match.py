@@ -1,9 +1,9 @@
 """Association by text: TF-IDF similarity within blocks, sub-location markers, and neighbours' votes.
 
 Rows are unit vectors of (token, weight). The nearest rows are found without meeting through common tokens: a first search
-by each row's few heaviest tokens gives a score that its k-th nearest row has at least; any row that scores as high shares
-one of the tokens before the rest of the vector is shorter than that score, so a second search by just these tokens is
-exact. Candidates are scored once each, vector against vector.
+by each row's few heaviest tokens, of which the k best are scored, gives a score that its k-th nearest row has at least. A second search goes by the tokens
+before the rest of the vector is shorter than half that score; what a row gives by these tokens and can give at most by the
+rest tells whether it may score as high, so the search is exact. Only such rows are scored, vector against vector.
 
 Cases: rows without tokens or whose block is null match nothing. Scores are compared to nine digits; ties go to the smallest
 id. Empty tables give no rows.
@@ -64,44 +64,49 @@ DIGITS = 9
 
 
 def vectors(weights: DataFrame, block: Sequence[str] = ()) -> DataFrame:
-    """(block, id, v): the tokens of every row with their weights, the heaviest first."""
+    """(block, id, v, tokens, weights): the tokens of every row with their weights, the heaviest first, together and apart."""
     entry = F.struct((-F.col("weight")).alias("w"), "token")
-    return weights.groupBy(*block, "id").agg(F.array_sort(F.collect_list(entry)).alias("v"))
-
-
-def _product(a: str, b: str) -> Column:
-    """The product of two vectors."""
-    of = F.map_from_entries(F.transform(b, lambda x: F.struct(x["token"], x["w"])))
-    return F.aggregate(F.col(a), F.lit(0.0), lambda s, x: s + x["w"] * F.coalesce(F.try_element_at(of, x["token"]), F.lit(0.0)))
+    out = weights.groupBy(*block, "id").agg(F.array_sort(F.collect_list(entry)).alias("v"))
+    return out.select(*block, "id", "v", F.col("v.token").alias("tokens"), F.transform("v.w", lambda w: -w).alias("weights"))
 
 
 def _scored(pairs: DataFrame, left: DataFrame, right: DataFrame, block: Sequence[str]) -> DataFrame:
-    sides = pairs.join(left.select(*block, F.col("id").alias("left_id"), F.col("v").alias("vl")), [*block, "left_id"]).join(right.select(*block, F.col("id").alias("right_id"), F.col("v").alias("vr")), [*block, "right_id"])
-    return sides.select(*block, "left_id", "right_id", F.round(_product("vl", "vr"), DIGITS).alias("score"))
+    """(block, left_id, right_id, score): the product of the vectors of every pair."""
+    side = lambda rows, k: rows.select(*block, F.col("id").alias(f"{k}_id"), F.col("tokens").alias(f"t_{k}"), F.col("weights").alias(f"w_{k}"))
+    both = pairs.join(side(left, "left"), [*block, "left_id"]).join(side(right, "right"), [*block, "right_id"])
+    other = lambda t: F.coalesce(F.get("w_right", (F.array_position("t_right", t) - 1).cast("int")), F.lit(0.0))
+    product = F.aggregate(F.zip_with("t_left", "w_left", lambda t, w: w * other(t)), F.lit(0.0), lambda s, x: s + x)
+    return both.select(*block, "left_id", "right_id", F.round(product, DIGITS).alias("score"))
 
 
 def nearest(left: DataFrame, right: DataFrame, block: Sequence[str] = (), k: int = 1, threshold: float = 0.0, itself: bool = True) -> DataFrame:
     """(block, left_id, right_id, score): the k most alike rows of `right` for every row of `left` within its block, of those
     that share a token and score the threshold at least; rows of the same id count or not."""
     left, right = cut(vectors(left.dropna(subset=list(block)), block)), cut(vectors(right.dropna(subset=list(block)), block))
-    index = right.select(*block, F.col("id").alias("right_id"), F.explode("v.token").alias("token"))
+    index = right.select(*block, F.col("id").alias("right_id"), F.explode("v").alias("x")).select(*block, "right_id", "x.token", (-F.col("x.w")).alias("wr"))
     other = F.lit(True) if itself else F.col("left_id") != F.col("right_id")
-    top = lambda rows: rows.groupBy(*block, "left_id").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "right_id"))), 1, k).alias("t"))
+    # the limit of a window is kept while rows come in, so no row's partners are ever held together
+    top = lambda rows, by: rows.withColumn("_r", F.row_number().over(Window.partitionBy(*block, "left_id").orderBy(F.desc(by), "right_id"))).where(F.col("_r") <= k)
 
     def search(rows: DataFrame) -> DataFrame:
-        probes = rows.select(*block, F.col("id").alias("left_id"), F.explode("p.token").alias("token"))
-        return probes.join(index, [*block, "token"]).where(other).select(*block, "left_id", "right_id").distinct()
-
-    first = cut(_scored(search(left.withColumn("p", F.slice("v", 1, FIRST))), left, right, block).where(F.col("score") > 0))
-    # the k-th best score so far, 0 where there are fewer
-    least = top(first).select(*block, F.col("left_id").alias("id"), F.when(F.size("t") == k, -F.element_at("t", -1)["s"]).otherwise(0.0).alias("least"))
+        """The pairs that share a probed token, with the product over those tokens and the length that they have on the right."""
+        probes = rows.select(*block, F.col("id").alias("left_id"), F.explode("p").alias("x")).select(*block, "left_id", "x.token", (-F.col("x.w")).alias("wl"))
+        return probes.join(index, [*block, "token"]).where(other).groupBy(*block, "left_id", "right_id").agg(F.sum(F.col("wl") * F.col("wr")).alias("part"), F.sum(F.col("wr") * F.col("wr")).alias("held"))
+
+    promising = top(search(left.withColumn("p", F.slice("v", 1, FIRST))), "part").select(*block, "left_id", "right_id")
+    first = cut(_scored(promising, left, right, block).where(F.col("score") > 0))
+    # the least score of the first k, 0 where there are fewer
+    least = first.groupBy(*block, F.col("left_id").alias("id")).agg(F.count("*").alias("n"), F.min("score").alias("s")).select(*block, "id", F.when(F.col("n") == k, F.col("s")).otherwise(0.0).alias("least"))
     bound = F.greatest(F.coalesce("least", F.lit(0.0)), F.lit(threshold)) - 10.0**-DIGITS
     rest = lambda i: F.sqrt(F.aggregate(F.slice("v", i + 1, F.size("v")), F.lit(0.0), lambda s, x: s + x["w"] * x["w"]))
-    needed = F.transform(F.filter(F.transform("v", lambda x, i: F.struct(x["token"].alias("token"), (rest(i) >= F.col("bound")).alias("use"))), lambda x: x["use"]), lambda x: F.struct(x["token"].alias("token")))
-    full = left.join(least, [*block, "id"], "left").withColumn("bound", bound).withColumn("p", needed)
-    more = search(full.withColumn("p", F.slice("p", FIRST + 1, F.greatest(F.size("p"), F.lit(1))))).join(first.select(*block, "left_id", "right_id"), [*block, "left_id", "right_id"], "left_anti")
+    # tokens until the rest is half as long as the score needed: what they give must then be the other half
+    used = F.size(F.filter(F.transform("v", lambda x, i: rest(i) >= F.col("bound") / 2), lambda u: u))
+    full = cut(left.select(*block, "id", "v").join(least, [*block, "id"], "left").withColumn("bound", bound).withColumn("used", used).select(*block, "id", "bound", F.slice("v", F.lit(1), F.col("used")).alias("p"), rest(F.col("used")).alias("rest")))
+    met = search(full).join(full.select(*block, F.col("id").alias("left_id"), "bound", "rest"), [*block, "left_id"])
+    able = met.where(F.col("part") + F.col("rest") * F.sqrt(F.greatest(F.lit(0.0), 1 - F.col("held"))) >= F.col("bound") - 10.0**-DIGITS).select(*block, "left_id", "right_id")
+    more = able.join(first.select(*block, "left_id", "right_id"), [*block, "left_id", "right_id"], "left_anti")
     found = first.unionByName(_scored(more, left, right, block)).where((F.col("score") > 0) & (F.col("score") >= threshold))
-    return top(found).select(*block, "left_id", F.explode("t").alias("t")).select(*block, "left_id", F.col("t.right_id").alias("right_id"), (-F.col("t.s")).alias("score"))
+    return top(found, "score").select(*block, "left_id", "right_id", "score")
 
 
 def rank(dim: DataFrame, ops: DataFrame, dim_text: Column, ops_text: Column, block: Sequence[str] = (), dim_id: str = "ID", ops_id: str = "ID", per_ops: bool = False, grams: int = 3, threshold: float = 0.0) -> DataFrame:
