@@ -38,16 +38,21 @@ def char_grams(c: Column, n: int = 3) -> Column:
     return F.transform(F.filter(F.sequence(F.lit(1), F.greatest(F.length(low) - n + 1, F.lit(1))), lambda i: i + n - 1 <= F.length(low)), lambda i: low.substr(i, F.lit(n)))
 
 
+def _weighed(df: DataFrame, id_col: str, tokens: Column, block: Sequence[str], vocabulary: DataFrame) -> DataFrame:
+    """(block, id, token, weight): term counts times idf."""
+    rows = df.select(*block, F.col(id_col).alias("id"), F.explode(tokens).alias("token")).groupBy(*block, "id", "token").agg(F.count("*").alias("tf"))
+    return rows.join(vocabulary, "token").select(*block, "id", "token", (F.col("tf") * F.col("idf")).alias("weight"))
+
+
 def tfidf(df: DataFrame, id_col: str, tokens: Column, block: Sequence[str] = (), vocabulary: DataFrame | None = None, min_df: int = 1, max_df: float = 1.0) -> DataFrame:
     """(block, id, token, weight), unit length per row: term counts times ln((1 + n) / (1 + df)) + 1. `vocabulary`
     (token, idf) of another table is used where given, else that of this one, which holds tokens of `min_df` rows at
     least and of a share `max_df` at most."""
-    rows = df.select(*block, F.col(id_col).alias("id"), F.explode(tokens).alias("token")).groupBy(*block, "id", "token").agg(F.count("*").alias("tf"))
     if vocabulary is None:
         vocabulary = idf(df, id_col, tokens, min_df, max_df)
-    rows = rows.join(vocabulary, "token").withColumn("w", F.col("tf") * F.col("idf"))
-    norms = rows.groupBy(*block, "id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return rows.join(norms, [*block, "id"]).select(*block, "id", "token", (F.col("w") / F.col("norm")).alias("weight"))
+    rows = _weighed(df, id_col, tokens, block, vocabulary)
+    norms = rows.groupBy(*block, "id").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
+    return rows.join(norms, [*block, "id"]).select(*block, "id", "token", (F.col("weight") / F.col("norm")).alias("weight"))
 
 
 def idf(df: DataFrame, id_col: str, tokens: Column, min_df: int = 1, max_df: float = 1.0) -> DataFrame:
@@ -63,10 +68,13 @@ FIRST = 4
 DIGITS = 9
 
 
-def vectors(weights: DataFrame, block: Sequence[str] = ()) -> DataFrame:
-    """(block, id, v, tokens, weights): the tokens of every row with their weights, the heaviest first, together and apart."""
+def vectors(weights: DataFrame, block: Sequence[str] = (), unit: bool = False) -> DataFrame:
+    """(block, id, v, tokens, weights): the tokens of every row with their weights, the heaviest first, together and apart;
+    with `unit` each row is brought to unit length."""
     entry = F.struct((-F.col("weight")).alias("w"), "token")
-    out = weights.groupBy(*block, "id").agg(F.array_sort(F.collect_list(entry)).alias("v"))
+    out = weights.groupBy(*block, "id").agg(F.array_sort(F.collect_list(entry)).alias("v"), F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
+    if unit:
+        out = out.withColumn("v", F.transform("v", lambda x: F.struct((x["w"] / F.col("norm")).alias("w"), x["token"].alias("token"))))
     return out.select(*block, "id", "v", F.col("v.token").alias("tokens"), F.transform("v.w", lambda w: -w).alias("weights"))
 
 
@@ -79,10 +87,10 @@ def _scored(pairs: DataFrame, left: DataFrame, right: DataFrame, block: Sequence
     return both.select(*block, "left_id", "right_id", F.round(product, DIGITS).alias("score"))
 
 
-def nearest(left: DataFrame, right: DataFrame, block: Sequence[str] = (), k: int = 1, threshold: float = 0.0, itself: bool = True) -> DataFrame:
+def nearest(left: DataFrame, right: DataFrame, block: Sequence[str] = (), k: int = 1, threshold: float = 0.0, itself: bool = True, unit: bool = False) -> DataFrame:
     """(block, left_id, right_id, score): the k most alike rows of `right` for every row of `left` within its block, of those
     that share a token and score the threshold at least; rows of the same id count or not."""
-    left, right = cut(vectors(left.dropna(subset=list(block)), block)), cut(vectors(right.dropna(subset=list(block)), block))
+    left, right = (cut(vectors(x.dropna(subset=list(block)) if block else x, block, unit)) for x in (left, right))
     index = right.select(*block, F.col("id").alias("right_id"), F.explode("v").alias("x")).select(*block, "right_id", "x.token", (-F.col("x.w")).alias("wr"))
     other = F.lit(True) if itself else F.col("left_id") != F.col("right_id")
     # the limit of a window is kept while rows come in, so no row's partners are ever held together
@@ -113,9 +121,9 @@ def rank(dim: DataFrame, ops: DataFrame, dim_text: Column, ops_text: Column, blo
     """(left_id, right_id, score): the best canonical row of every raw row of its block (or the best raw row of every
     canonical one) by their character grams; weights by the raw side. A row of several blocks takes the best of them."""
     vocabulary = cut(idf(dim, dim_id, char_grams(dim_text, grams)))
-    left = tfidf(dim, dim_id, char_grams(dim_text, grams), block, vocabulary)
-    right = tfidf(ops, ops_id, char_grams(ops_text, grams), block, vocabulary)
-    found = nearest(right, left, block, 1, threshold) if per_ops else nearest(left, right, block, 1, threshold)
+    left = _weighed(dim, dim_id, char_grams(dim_text, grams), block, vocabulary)
+    right = _weighed(ops, ops_id, char_grams(ops_text, grams), block, vocabulary)
+    found = nearest(right, left, block, 1, threshold, unit=True) if per_ops else nearest(left, right, block, 1, threshold, unit=True)
     best = found.groupBy("left_id").agg(F.min(F.struct((-F.col("score")).alias("s"), "right_id")).alias("b"))
     key, other = ("right_id", "left_id") if per_ops else ("left_id", "right_id")
     return best.select(F.col("left_id").alias(key), F.col("b.right_id").alias(other), (-F.col("b.s")).alias("score"))
