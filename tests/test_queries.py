@@ -18,6 +18,10 @@ def duck():
     return con
 
 
+#: Queries that SQL is too slow for on whole tables, each tested against brute force in a module of its own.
+COMPARED_ELSEWHERE = {"similar_names"}
+
+
 def names():
     from cairnfield.plans import registry
 
@@ -33,6 +37,7 @@ def test_query_equals_its_sql(spark, duck, name):
     df = entry.queries()[name](spark, DATA)
     got = rows(df.columns, df.collect())
     sql = entry.oracle_sql().get(name)
+    assert sql or name in COMPARED_ELSEWHERE
     if sql:
         cur = duck.execute(sql)
         columns = [x[0] for x in cur.description]
