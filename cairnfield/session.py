@@ -55,9 +55,11 @@ def parallelism(spark: SparkSession) -> int:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """The rows over all cores where the plan's estimated size fills fewer partitions; a large input is left as it is, without
-    a shuffle. Nothing is run to find out."""
+    """The rows over all cores where the files that the plan reads are too small to be split for all of them; larger ones are
+    left as they are, without a shuffle. Nothing is run to find out."""
     spark = df.sparkSession
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    piece = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    return df.repartition(parallelism(spark)) if size < piece * parallelism(spark) else df
+    leaves, conf = df._jdf.queryExecution().optimizedPlan().collectLeaves(), spark._jsparkSession.sessionState().conf()
+    size = sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+    cores = spark.sparkContext.defaultParallelism
+    piece = min(conf.filesMaxPartitionBytes(), max(conf.filesOpenCostInBytes(), (size + conf.filesOpenCostInBytes()) / cores))
+    return df.repartition(parallelism(spark)) if math.ceil(size / piece) < cores else df
