@@ -55,7 +55,7 @@ def learn(df: DataFrame, street: str, others: Sequence[str] = ()) -> Lexicon:
     """The words that follow a kind of road in streets four times as often as they stand before one, and the texts without
     a number that fill the other fields, each in at least `LEARNT_SHARE` of the rows."""
     roads = sorted(k for k, v in addresses.SUFFIX_OF.items() if v in addresses.ROADS)
-    lines = df.select(F.split(_plain(F.col(street)), " ").alias("words"))
+    lines = df.select(F.split(F.translate(F.lower(street), ".'’", ""), "[^a-z0-9#&À-ɏ]+").alias("words"))
     marked = lines.select("words", F.array_position(F.transform("words", lambda w, i: (i > 0) & w.isin(roads)), True).cast("int").alias("at")).where("at > 0")
     known = F.transform("words", lambda w, i: F.when(i + 1 != F.col("at"), F.struct(w.alias("text"), (i + 1 > F.col("at")).cast("int").alias("tail"))))
     words = marked.select(F.explode(known).alias("x")).select("x.*").groupBy("text").agg(F.sum("tail").alias("n"), F.count("*").alias("all")).where(r"not text rlike '\\d|^.?$'").select(F.lit("w").alias("kind"), "text", "n", "all")
