@@ -4,6 +4,7 @@ Rows are unit vectors of (token, weight). The nearest rows are found without mee
 by each row's few heaviest tokens, of which the k best are scored, gives a score that its k-th nearest row has at least. A second search goes by the tokens
 before the rest of the vector is shorter than half that score; what a row gives by these tokens and can give at most by the
 rest tells whether it may score as high, so the search is exact. Only such rows are scored, vector against vector.
+Texts by their character grams are matched block by block (`grams`), without rows of tokens or pairs.
 
 Cases: rows without tokens or whose block is null match nothing. Scores are compared to nine digits; ties go to the smallest
 id. Empty tables give no rows.
@@ -17,6 +18,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cairnfield.operators import grams as G
 from cairnfield.session import cut
 
 #: The lowest similarity that counts, unless stated otherwise.
@@ -120,10 +122,14 @@ def nearest(left: DataFrame, right: DataFrame, block: Sequence[str] = (), k: int
 def rank(dim: DataFrame, ops: DataFrame, dim_text: Column, ops_text: Column, block: Sequence[str] = (), dim_id: str = "ID", ops_id: str = "ID", per_ops: bool = False, grams: int = 3, threshold: float = 0.0) -> DataFrame:
     """(left_id, right_id, score): the best canonical row of every raw row of its block (or the best raw row of every
     canonical one) by their character grams; weights by the raw side. A row of several blocks takes the best of them."""
-    vocabulary = cut(idf(dim, dim_id, char_grams(dim_text, grams)))
-    left = _weighed(dim, dim_id, char_grams(dim_text, grams), block, vocabulary)
-    right = _weighed(ops, ops_id, char_grams(ops_text, grams), block, vocabulary)
-    found = nearest(right, left, block, 1, threshold, unit=True) if per_ops else nearest(left, right, block, 1, threshold, unit=True)
+    if grams > G.LONGEST:
+        vocabulary = cut(idf(dim, dim_id, char_grams(dim_text, grams)))
+        left = _weighed(dim, dim_id, char_grams(dim_text, grams), block, vocabulary)
+        right = _weighed(ops, ops_id, char_grams(ops_text, grams), block, vocabulary)
+        found = nearest(right, left, block, 1, threshold, unit=True) if per_ops else nearest(left, right, block, 1, threshold, unit=True)
+    else:
+        left, right, words = G.rows(dim, dim_id, dim_text, block), G.rows(ops, ops_id, ops_text, block), G.vocabulary(dim, dim_id, dim_text, grams)
+        found = G.nearest(*((right, left) if per_ops else (left, right)), words, block, 1, threshold, grams)
     best = found.groupBy("left_id").agg(F.min(F.struct((-F.col("score")).alias("s"), "right_id")).alias("b"))
     key, other = ("right_id", "left_id") if per_ops else ("left_id", "right_id")
     return best.select(F.col("left_id").alias(key), F.col("b.right_id").alias(other), (-F.col("b.s")).alias("score"))
