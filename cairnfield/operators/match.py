@@ -119,16 +119,18 @@ def nearest(left: DataFrame, right: DataFrame, block: Sequence[str] = (), k: int
     return top(found, "score").select(*block, "left_id", "right_id", "score")
 
 
-def rank(dim: DataFrame, ops: DataFrame, dim_text: Column, ops_text: Column, block: Sequence[str] = (), dim_id: str = "ID", ops_id: str = "ID", per_ops: bool = False, grams: int = 3, threshold: float = 0.0) -> DataFrame:
+def rank(dim: DataFrame, ops: DataFrame, dim_text: Column, ops_text: Column, block: Sequence[str] = (), dim_id: str = "ID", ops_id: str = "ID", per_ops: bool = False, grams: int = 3, threshold: float = 0.0, words: DataFrame | None = None) -> DataFrame:
     """(left_id, right_id, score): the best canonical row of every raw row of its block (or the best raw row of every
-    canonical one) by their character grams; weights by the raw side. A row of several blocks takes the best of them."""
+    canonical one) by their character grams; weights by the raw side (`words`, where they are known, as of
+    `grams.vocabulary`). A row of several blocks takes the best of them."""
     if grams > G.LONGEST:
         vocabulary = cut(idf(dim, dim_id, char_grams(dim_text, grams)))
         left = _weighed(dim, dim_id, char_grams(dim_text, grams), block, vocabulary)
         right = _weighed(ops, ops_id, char_grams(ops_text, grams), block, vocabulary)
         found = nearest(right, left, block, 1, threshold, unit=True) if per_ops else nearest(left, right, block, 1, threshold, unit=True)
     else:
-        left, right, words = G.rows(dim, dim_id, dim_text, block), G.rows(ops, ops_id, ops_text, block), G.vocabulary(dim, dim_id, dim_text, grams)
+        left, right = G.rows(dim, dim_id, dim_text, block), G.rows(ops, ops_id, ops_text, block)
+        words = G.vocabulary(dim, dim_id, dim_text, grams) if words is None else words
         found = G.nearest(*((right, left) if per_ops else (left, right)), words, block, 1, threshold, grams)
     best = found.groupBy("left_id").agg(F.min(F.struct((-F.col("score")).alias("s"), "right_id")).alias("b"))
     key, other = ("right_id", "left_id") if per_ops else ("left_id", "right_id")
@@ -143,7 +145,11 @@ def training_pairs(ranked: DataFrame, threshold: float = THRESHOLD) -> DataFrame
 def neighbour_votes(labelled: DataFrame, weights: DataFrame, k: int = 5, itself: bool = True, block: Sequence[str] = ()) -> DataFrame:
     """(id, label, votes): for every row of `weights` the label with the highest summed score among its k nearest labelled
     rows (id, label) of its block, `itself` included or not."""
-    near = nearest(weights, weights.join(labelled.select("id").distinct(), "id"), block, k, 0.0, itself)
+    return _elected(nearest(weights, weights.join(labelled.select("id").distinct(), "id"), block, k, 0.0, itself), labelled)
+
+
+def _elected(near: DataFrame, labelled: DataFrame) -> DataFrame:
+    """(id, label, votes): the label with the highest summed score among the near rows (left_id, right_id, score)."""
     votes = near.join(labelled.select(F.col("id").alias("right_id"), "label"), "right_id").groupBy("left_id", "label").agg(F.sum("score").alias("votes"))
     top = votes.groupBy("left_id").agg(F.min(F.struct((-F.round("votes", DIGITS)).alias("v"), "label")).alias("b"))
     return top.select(F.col("left_id").alias("id"), F.col("b.label").alias("label"), (-F.col("b.v")).alias("votes"))
@@ -151,10 +157,12 @@ def neighbour_votes(labelled: DataFrame, weights: DataFrame, k: int = 5, itself:
 
 def voted(dim: DataFrame, ops: DataFrame, dim_text: Column, ops_text: Column, block: Sequence[str], k: int = 5, threshold: float = THRESHOLD) -> DataFrame:
     """(dim_id, ops_id, votes): a canonical row for every raw row: raw rows whose best one is sure are labelled with it, and the
-    k nearest labelled rows of the block, itself among them, vote."""
-    sure = training_pairs(rank(dim, ops, dim_text, ops_text, block), threshold)
-    weights = tfidf(dim, "ID", char_grams(dim_text), block)
-    found = neighbour_votes(cut(sure.select(F.col("ID").alias("id"), F.col("ID_y").alias("label"))), weights, k, True, block)
+    k nearest labelled rows of its blocks, itself among them, vote."""
+    words = cut(G.vocabulary(dim, "ID", dim_text))
+    sure = training_pairs(rank(dim, ops, dim_text, ops_text, block, words=words), threshold)
+    labelled = cut(sure.select(F.col("ID").alias("id"), F.col("ID_y").alias("label")))
+    rows = G.rows(dim, "ID", dim_text, block)
+    found = _elected(G.nearest(rows, rows.join(labelled.select("id"), "id"), words, block, k), labelled)
     return found.select(F.col("id").alias("dim_id"), F.col("label").alias("ops_id"), "votes")
 
 

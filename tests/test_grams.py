@@ -85,13 +85,27 @@ def test_sums_by_matrix_and_lists_agree(monkeypatch, work, matrix, posting, k):
     assert by_left((r["left_id"], r["right_id"], r["score"]) for r in got) == expected(left, right, left, k)
 
 
-def test_pairs_of_a_block_are_not_shuffled(spark):
+def written(spark):
+    """Bytes of shuffle files that the session has written."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30000)
+    return spark.sparkContext._jsc.sc().statusStore().executorList(True).head().totalShuffleWrite()
+
+
+@pytest.fixture
+def one_block(spark):
     """Six hundred rows a side in one block: their pairs took megabytes of shuffle files."""
     draw = random.Random(5)
     some = [f"{draw.randint(1, 9999)} {draw.choice(WORDS)}{draw.choice(WORDS)} {draw.choice(WORDS)} Springfield IL 627{draw.randint(10, 99)}" for _ in range(600)]
-    x, y = (spark.createDataFrame([(i, "A", t) for i, t in enumerate(ts)], "ID int, block string, text string") for ts in (some, some[::-1]))
-    written = lambda: spark.sparkContext._jsc.sc().statusStore().executorList(True).head().totalShuffleWrite()
-    before = written()
-    assert match.rank(x, y, F.col("text"), F.col("text"), ["block"]).where("score < 0.999999").count() == 0
-    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30000)
-    assert written() - before < 500_000
+    return [spark.createDataFrame([(i, "A", t) for i, t in enumerate(ts)], "ID int, block string, text string") for ts in (some, some[::-1])]
+
+
+def test_pairs_of_a_block_are_not_shuffled(spark, one_block):
+    before = written(spark)
+    assert match.rank(*one_block, F.col("text"), F.col("text"), ["block"]).where("score < 0.999999").count() == 0
+    assert written(spark) - before < 500_000
+
+
+def test_votes_of_a_block_are_not_shuffled(spark, one_block):
+    before = written(spark)
+    assert match.voted(*one_block, F.col("text"), F.col("text"), ["block"]).where("votes > 0.999999").count() == 600
+    assert written(spark) - before < 1_000_000
