@@ -137,6 +137,26 @@ def rank(dim: DataFrame, ops: DataFrame, dim_text: Column, ops_text: Column, blo
     return best.select(F.col("left_id").alias(key), F.col("b.right_id").alias(other), (-F.col("b.s")).alias("score"))
 
 
+def rank_by_account(dim: DataFrame, ops: DataFrame, accounts: DataFrame, dim_text: Column, ops_text: Column, threshold: float = 0.0) -> DataFrame:
+    """(left_id, right_id, score): the best canonical row (ID, ORGANIZATION_ID) of every raw row (ID, ACCOUNT) among those whose
+    organisation has the account by `accounts` (ORGANIZATION_ID, ACCOUNT), each pair once.
+
+    Raw rows go to the organisations of their account, as a canonical row for each account of its organisation would make
+    organisations' rows times accounts. Only canonical ids of several organisations, whose texts count together where an
+    account has more than one of them, are repeated for each account."""
+    raw = dim.select(F.to_json(F.struct("ID", "ACCOUNT")).alias("ID"), "ACCOUNT", dim_text.alias("text")).where("ACCOUNT is not null")
+    listed = ops.where("ORGANIZATION_ID is not null").select("ID", "ORGANIZATION_ID", ops_text.alias("text")).distinct()
+    several = cut(listed.groupBy("ID").agg(F.count_distinct("ORGANIZATION_ID").alias("n")).where("n > 1").select("ID"))
+    named = lambda kind, c: F.concat(F.lit(f"{kind}:"), F.col(c).cast("string")).alias("block")
+    shared = listed.join(several, "ID").join(accounts, "ORGANIZATION_ID")
+    right = listed.join(several, "ID", "left_anti").select("ID", named("organisation", "ORGANIZATION_ID"), "text").unionByName(shared.select("ID", named("account", "ACCOUNT"), "text").distinct())
+    left = raw.join(accounts, "ACCOUNT").select("ID", named("organisation", "ORGANIZATION_ID"), "text").unionByName(raw.join(shared.select("ACCOUNT").distinct(), "ACCOUNT").select("ID", named("account", "ACCOUNT"), "text"))
+    found = G.nearest(G.rows(left, "ID", F.col("text"), ["block"]), G.rows(right, "ID", F.col("text"), ["block"]), G.vocabulary(dim.where("ACCOUNT is not null"), "ID", dim_text), ["block"], 1, threshold)
+    own = found.select(F.from_json("left_id", f"ID {dim.schema['ID'].dataType.simpleString()}")["ID"].alias("left_id"), "right_id", "score").where("left_id is not null")
+    best = own.groupBy("left_id").agg(F.min(F.struct((-F.col("score")).alias("s"), "right_id")).alias("b"))
+    return best.select("left_id", F.col("b.right_id").alias("right_id"), (-F.col("b.s")).alias("score"))
+
+
 def training_pairs(ranked: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(ID, ID_y): the raw rows whose best partner is surely theirs."""
     return ranked.where(F.col("score") >= threshold).select(F.col("left_id").alias("ID"), F.col("right_id").alias("ID_y"))

@@ -102,8 +102,9 @@ _ACCOUNT_ROWS = f"SELECT DISTINCT ID, ACCOUNT, {_text_sql('OPS_STREET', 'OPS_CIT
 def match_keepstock(spark: SparkSession, folder: str) -> DataFrame:
     """The most alike canonical address of its account for every stock record."""
     dim = read(spark, folder, "dim_location_keepstock").where("ACCOUNT is not null").select("ID", "ACCOUNT", text.location_string("keepstock").alias("text")).distinct()
-    ops = _with_accounts(spark, folder).where("IS_ADDRESS and DELETED_AT is null").select("ID", "ACCOUNT", text.location_string("ops_no_sublocation").alias("text")).distinct()
-    found = match.rank(dim, ops, F.col("text"), F.col("text"), ["ACCOUNT"], threshold=match.THRESHOLD)
+    ops = read(spark, folder, "ops_location").where("IS_ADDRESS and DELETED_AT is null").select("ID", "ORGANIZATION_ID", text.location_string("ops_no_sublocation").alias("text")).distinct()
+    of = read(spark, folder, "organization_soldto_account").where("ORGANIZATION_ID is not null and ACCOUNT is not null").select("ORGANIZATION_ID", "ACCOUNT").distinct()
+    found = match.rank_by_account(dim, ops, of, F.col("text"), F.col("text"), threshold=match.THRESHOLD)
     return found.select(F.col("left_id").alias("dim_id"), F.col("right_id").alias("ops_id"), F.round("score", 6).alias("score"))
 
 
