@@ -105,6 +105,12 @@ def test_pairs_of_a_block_are_not_shuffled(spark, one_block):
     assert written(spark) - before < 500_000
 
 
+def test_pairs_are_not_shuffled_for_canonical_rows(spark, one_block):
+    before = written(spark)
+    assert match.rank(*one_block, F.col("text"), F.col("text"), ["block"], per_ops=True).where("score > 0.999999").count() == 600
+    assert written(spark) - before < 500_000
+
+
 def test_votes_of_a_block_are_not_shuffled(spark, one_block):
     before = written(spark)
     assert match.voted(*one_block, F.col("text"), F.col("text"), ["block"]).where("votes > 0.999999").count() == 600
