@@ -1,9 +1,11 @@
 """The nearest texts of a block by the TF-IDF product of their character grams, without rows of tokens or pairs.
 
-Only the texts move: the rows of a block go together into one bucket, a large block in pieces, with the weights of the
-grams met there. A bucket's products are summed in arrays, the grams that most rows hold by a matrix product, the rest by
-lists of the rows that hold them; what comes within the error of that sum of the k-th best is scored exactly. Nothing is
-left out: all rows of a block are held against all others of it.
+Only the texts move: the rows of a block go together into one bucket, with the weights of the grams met there, and are held
+against each other there, so many at a time. Only a block that is more than a bucket's share of all products, or that has
+more texts than a task should hold, goes to several buckets in pieces, each row as often as the other side has pieces; so the
+rows moved grow with the rows, not with the square of a block. A bucket's products are summed in arrays, the grams that most
+rows hold by a matrix product, the rest by lists of the rows that hold them; what comes within the error of that sum of the
+k-th best is scored exactly. Nothing is left out: all rows of a block are held against all others of it.
 
 Cases: null ids, texts and blocks, and texts shorter than a gram, match nothing; several texts of an id in a block count
 as one row. Scores are compared to nine digits; ties go to the smallest id.
@@ -25,8 +27,10 @@ from cairnfield.session import buckets, cut, parallelism
 #: Characters that a gram's number holds, 21 bits each.
 LONGEST = 3
 DIGITS = 9
-#: Rows of a piece at most, and about so many rows to a bucket.
+#: Rows held against each other at a time, and about so many rows to a bucket.
 LEFT_ROWS, RIGHT_ROWS, BUCKET_ROWS = 4096, 32768, 32768
+#: Texts of a piece at most, and products from which a block may go in pieces.
+PIECE_ROWS, PIECE_PRODUCTS = 262144, 32_000_000
 #: Sums held at a time; products from which a piece has a matrix; a posting costs so many cells of it; more than the error of sums.
 WORK, MATRIX, POSTING, ERROR = 2_000_000, 200_000, 150, 1e-4
 
@@ -75,10 +79,14 @@ def nearest(left: DataFrame, right: DataFrame, words: DataFrame, block: Sequence
     a gram of `words` (token, idf) and score the threshold at least."""
     size = lambda x, n: x.groupBy(*block).agg(F.count("*").alias(n))
     sizes = size(left, "_l").join(size(right, "_r"), list(block)) if block else size(left, "_l").crossJoin(size(right, "_r"))
-    pieces = lambda n, most: F.ceil(F.col(n) / most).cast("long")
-    sizes = cut(sizes.where("_l > 0 and _r > 0").select(*block, pieces("_l", LEFT_ROWS).alias("_cl"), pieces("_r", RIGHT_ROWS).alias("_cr"), F.monotonically_increasing_id().alias("no"), "_l", "_r"))
-    total = sizes.agg(F.sum(F.col("_l") * F.col("_cr") + F.col("_r") * F.col("_cl"))).first()[0] or 0
+    sizes = cut(sizes.where("_l > 0 and _r > 0").select(*block, F.monotonically_increasing_id().alias("no"), "_l", "_r"))
+    total, products = (x or 0 for x in sizes.agg(F.sum(F.col("_l") + F.col("_r")), F.sum(F.col("_l").cast("double") * F.col("_r"))).first())
     n = max(2 * parallelism(left.sparkSession), buckets(int(total), BUCKET_ROWS))
+    # a block in as many pieces as it has a bucket's share of the products, such that the fewest rows are repeated
+    shares = F.ceil(F.col("_l").cast("double") * F.col("_r") / max(products / n, PIECE_PRODUCTS))
+    cl = F.least(shares, F.greatest(F.lit(1), F.round(F.sqrt(shares * F.col("_l") / F.col("_r")))))
+    pieces = lambda own, c: F.greatest(F.least(c, F.col(own)), F.ceil(F.col(own) / PIECE_ROWS)).cast("long")
+    sizes = sizes.select(*block, "no", pieces("_l", cl).alias("_cl"), pieces("_r", F.ceil(shares / cl)).alias("_cr"))
 
     def spread(x: DataFrame, is_left: bool) -> DataFrame:
         """The rows with the pieces that they are held against."""
@@ -91,14 +99,16 @@ def nearest(left: DataFrame, right: DataFrame, words: DataFrame, block: Sequence
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            of, code = codes(batch.column(1), grams)
-            pairs = pd.DataFrame({"bucket": batch.column(0).to_numpy()[of], "token": code}).drop_duplicates()
+            of, code = codes(batch.column("text"), grams)
+            pairs = pd.DataFrame({"bucket": batch.column("bucket").to_numpy()[of], "token": code}).drop_duplicates()
             yield pa.RecordBatch.from_pandas(pairs, preserve_index=False)
 
     both = spread(left, True).unionByName(spread(right, False)).repartition(n, "bucket")
-    met = both.select("bucket", "text").mapInArrow(meet, "bucket long, token long").distinct().join(words, "token").select("bucket", "token", "idf").repartition(n, "bucket")
+    # of whole rows, so that they are shuffled once for both uses
+    met = both.mapInArrow(meet, "bucket long, token long").distinct().join(words, "token").select("bucket", "token", "idf").repartition(n, "bucket")
     kinds = [x.schema["id"].dataType.simpleString() for x in (left, right)]
-    work = lambda texts, known: best(texts, known, k, threshold, grams)
+    most = LEFT_ROWS, RIGHT_ROWS
+    work = lambda texts, known: best(texts, known, k, threshold, grams, most)
     found = both.groupBy("bucket").cogroup(met.groupBy("bucket")).applyInArrow(work, f"left_id {kinds[0]}, right_id {kinds[1]}, score double")
     # the limit of a window is kept while rows come in
     return found.withColumn("_n", F.row_number().over(Window.partitionBy("left_id").orderBy(F.desc("score"), "right_id"))).where(F.col("_n") <= k).drop("_n")
@@ -133,8 +143,9 @@ class _Side:
         self.key, self.piece = entries, piece[self.first]
 
 
-def best(texts: pa.Table, known: pa.Table, k: int, threshold: float, grams: int) -> pa.Table:
-    """(left_id, right_id, score) of the k nearest rows of every left row in each piece of a bucket."""
+def best(texts: pa.Table, known: pa.Table, k: int, threshold: float, grams: int, most: tuple[int, int] = (LEFT_ROWS, RIGHT_ROWS)) -> pa.Table:
+    """(left_id, right_id, score) of the k nearest rows of every left row in each piece of a bucket; of a piece with more rows than
+    `most` of a side, in each part of its right side."""
     texts = texts.combine_chunks()
     get = lambda t, c: t.column(c).to_numpy()
     out_i, out_j, out_s = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]
@@ -145,19 +156,57 @@ def best(texts: pa.Table, known: pa.Table, k: int, threshold: float, grams: int)
         order = np.argsort(get(known, "token"))
         tokens, idf = get(known, "token")[order], get(known, "idf")[order]
         piece = pd.DataFrame({c: get(texts, c) for c in ("no", "p", "q")}).groupby(["no", "p", "q"]).ngroup().to_numpy().astype(np.int64)
-        left = _Side(flat(sides[0], "left_id"), flat(sides[0], "text"), piece[is_left], tokens, idf, grams)
-        right = _Side(flat(sides[1], "right_id"), flat(sides[1], "text"), piece[~is_left], tokens, idf, grams, k)
-        for i, j in _near(left, right, len(tokens), k, threshold):
-            score = _product(left, right, len(tokens), i, j)
-            ok = (score > 0) & (score >= threshold)
-            i, j, score = i[ok], j[ok], score[ok]
-            order = np.lexsort((j, -score, i))
-            i, j, score = i[order], j[order], score[order]
-            start = np.flatnonzero(np.r_[True, np.diff(i) != 0]) if len(i) else np.zeros(0, np.int64)
-            top = np.arange(len(i)) - np.repeat(start, np.diff(np.r_[start, len(i)])) < k
-            out_i.append(left.first[i[top]]), out_j.append(right.first[j[top]]), out_s.append(score[top])
-    ids = [flat(x, c).take(pa.array(np.concatenate(o))) for x, c, o in zip(sides, ("left_id", "right_id"), (out_i, out_j), strict=True)]
-    return pa.table([*ids, pa.array(np.concatenate(out_s), pa.float64())], ["left_id", "right_id", "score"])
+        pieces = [piece[is_left], piece[~is_left]]
+        ids, words = [flat(x, c) for x, c in zip(sides, ("left_id", "right_id"), strict=True)], [flat(x, "text") for x in sides]
+
+        def side(x: int, at: np.ndarray, alike: int | None = None) -> _Side:
+            take = pa.array(at)
+            return _Side(ids[x].take(take), words[x].take(take), pieces[x][at], tokens, idf, grams, alike)
+
+        for at_right, lefts in _parts(pieces, ids, most):
+            right = side(1, at_right, k)
+            for at_left in lefts:
+                left = side(0, at_left)
+                for i, j in _near(left, right, len(tokens), k, threshold):
+                    score = _product(left, right, len(tokens), i, j)
+                    ok = (score > 0) & (score >= threshold)
+                    i, j, score = i[ok], j[ok], score[ok]
+                    order = np.lexsort((j, -score, i))
+                    i, j, score = i[order], j[order], score[order]
+                    start = np.flatnonzero(np.r_[True, np.diff(i) != 0]) if len(i) else np.zeros(0, np.int64)
+                    top = np.arange(len(i)) - np.repeat(start, np.diff(np.r_[start, len(i)])) < k
+                    out_i.append(at_left[left.first[i[top]]]), out_j.append(at_right[right.first[j[top]]]), out_s.append(score[top])
+    found = [flat(x, c).take(pa.array(np.concatenate(o))) for x, c, o in zip(sides, ("left_id", "right_id"), (out_i, out_j), strict=True)]
+    return pa.table([*found, pa.array(np.concatenate(out_s), pa.float64())], ["left_id", "right_id", "score"])
+
+
+def _parts(pieces: list[np.ndarray], ids: list[pa.Array], most: tuple[int, int]) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
+    """(right rows, left rows of each part) that are held against each other: small pieces together, a large one in parts of whole ids."""
+    count = max(int(x.max()) for x in pieces) + 1
+    rows = [np.bincount(x, minlength=count) for x in pieces]
+    met = np.all([n > 0 for n in rows], 0)
+    large = met & np.any([n > m for n, m in zip(rows, most, strict=True)], 0)
+    small = np.where(met & ~large, rows[0] + rows[1], 0)
+    group = np.where(small > 0, (np.cumsum(small) - small) // most[1], -1)
+    group[large] = group.max() + 1 + np.arange(large.sum())
+    sorts = [np.argsort(group[x], kind="stable") for x in pieces]
+    ends = [np.searchsorted(group[x][order], np.arange(group.max() + 2)) for x, order in zip(pieces, sorts, strict=True)]
+    alone = np.zeros(group.max() + 1, bool)
+    alone[group[large]] = True
+    for g in range(len(alone)):
+        sides = [order[e[g] : e[g + 1]] for order, e in zip(sorts, ends, strict=True)]
+        if not all(len(x) for x in sides):
+            continue
+        if not alone[g]:
+            yield sides[1], [sides[0]]
+            continue
+        parts = []
+        for at, known, m in zip(sides, ids, most, strict=True):
+            n = -(-len(at) // m)
+            of = known.take(pa.array(at)).dictionary_encode().indices.to_numpy() % n if n > 1 else np.zeros(len(at), np.int64)
+            parts.append([x for c in range(n) if len(x := at[of == c])])
+        for at_right in parts[1]:
+            yield at_right, parts[0]
 
 
 def _product(left: _Side, right: _Side, words: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:

@@ -85,6 +85,17 @@ def test_sums_by_matrix_and_lists_agree(monkeypatch, work, matrix, posting, k):
     assert by_left((r["left_id"], r["right_id"], r["score"]) for r in got) == expected(left, right, left, k)
 
 
+@pytest.mark.parametrize(("pieces", "products"), [((7, 5), 50), ((1, 1000), 300), ((1000, 3), 10**9)])
+def test_blocks_of_several_buckets_equal_brute_force(spark, monkeypatch, pieces, products):
+    for name, value in (("LEFT_ROWS", pieces[0]), ("RIGHT_ROWS", pieces[1]), ("PIECE_ROWS", 9), ("PIECE_PRODUCTS", products), ("BUCKET_ROWS", 10)):
+        monkeypatch.setattr(G, name, value)
+    left, right = texts(40, 7) + [(3, "A", "Oak Road 22"), (40, "C", "Oak")], texts(50, 8) + [(1, "B", "Ash Hof"), (5, "C", "Oak"), (4, "C", "Oak")]
+    x, y = (spark.createDataFrame(rows, "id int, block string, text string") for rows in (left, right))
+    words = G.vocabulary(x, "id", F.col("text"))
+    got = G.nearest(G.rows(x, "id", F.col("text"), ["block"]), G.rows(y, "id", F.col("text"), ["block"]), words, ["block"], 2, 0.2).collect()
+    assert by_left((r.left_id, r.right_id, r.score) for r in got) == expected(left, right, left, 2, 0.2)
+
+
 def written(spark):
     """Bytes of shuffle files that the session has written."""
     spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30000)
@@ -115,3 +126,12 @@ def test_votes_of_a_block_are_not_shuffled(spark, one_block):
     before = written(spark)
     assert match.voted(*one_block, F.col("text"), F.col("text"), ["block"]).where("votes > 0.999999").count() == 600
     assert written(spark) - before < 1_000_000
+
+
+def test_rows_of_a_block_move_once(spark, monkeypatch, one_block):
+    """However few rows are held against each other at a time: each row went as often as the other side has such parts."""
+    monkeypatch.setattr(G, "LEFT_ROWS", 10)
+    monkeypatch.setattr(G, "RIGHT_ROWS", 10)
+    before = written(spark)
+    assert match.rank(*one_block, F.col("text"), F.col("text"), ["block"], per_ops=True).where("score > 0.999999").count() == 600
+    assert written(spark) - before < 500_000
