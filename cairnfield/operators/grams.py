@@ -3,7 +3,7 @@
 Only the texts move: the rows of a block go together into one bucket, with the weights of the grams met there, and are held
 against each other there, so many at a time. Only a block that is more than a bucket's share of all products, or that has
 more texts than a task should hold, goes to several buckets in pieces, each row as often as the other side has pieces; so the
-rows moved grow with the rows, not with the square of a block. A bucket's products are summed in arrays, the grams that most
+rows moved grow not much faster than the rows until blocks pass `PIECE_ROWS`. A bucket's products are summed in arrays, the grams that most
 rows hold by a matrix product, the rest by lists of the rows that hold them; what comes within the error of that sum of the
 k-th best is scored exactly. Nothing is left out: all rows of a block are held against all others of it.
 
